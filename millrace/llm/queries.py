@@ -86,7 +86,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 shingled AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s FROM words),
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * inter >= 85 * (x.n + y.n - inter)),
