@@ -9,15 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialize, small_batches
+from millrace.llm._common import materialize, power_of_two, small_batches
 from millrace.llm._components import components
 from millrace.llm._shingles import WordHashes, set_key, shingles
 
 #: Cells of the frequency sketch, a fixed size whatever the input's.
 SKETCH = 1 << 20
 CHUNK = 1 << 14
-#: Buckets of a set's histogram.
-BUCKETS = 64
+#: Buckets of a set's histogram: at least, and shingles for each beyond that.
+BUCKETS, PER_BUCKET = 64, 4
 #: Documents, and shingles, that one task joins at most (one document may have more).
 MAX_DOCS, MAX_SHINGLES = 4096, 4_000_000
 #: In a task, regions up to this size are joined without new pivots.
@@ -76,29 +76,44 @@ class Union:
 
 
 def histogram(s: np.ndarray) -> bytes:
-    """How many shingles fall into each bucket, at most 255. The L1 distance of two histograms
-    bounds the symmetric difference of the sets from below."""
-    return np.minimum(np.bincount((s & (BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+    """How many shingles fall into each bucket, at most 255; a power of two of buckets that grows
+    with the set. The L1 distance of two histograms bounds the symmetric difference of the sets
+    from below, also after fold()."""
+    buckets = max(BUCKETS, power_of_two(-(-len(s) // PER_BUCKET)))
+    return np.minimum(np.bincount((s & (buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
 
 
-def join_histograms(hist: np.ndarray, n: np.ndarray, at_least: Threshold, done: np.ndarray) -> np.ndarray:
+def fold(hist: bytes, buckets: int) -> np.ndarray:
+    """A histogram in fewer buckets."""
+    h = np.frombuffer(hist, np.uint8)
+    return h.reshape(-1, buckets).sum(0, dtype=np.int32)
+
+
+def join_histograms(hist: list[bytes], n: np.ndarray, at_least: Threshold, done: np.ndarray) -> np.ndarray:
     """A root per document such that documents that may link share it; those marked done
     share one root already and are not compared with each other."""
     order = np.argsort(n, kind="stable")
-    h, size, done = hist[order].astype(np.int16), n[order], done[order]
+    size = n[order]
     u = Union(len(n))
     if done.any():
-        first = np.flatnonzero(done)
+        first = np.flatnonzero(done[order])
         u.join(int(first[0]), first[1:])
-    for i in range(len(n)):
-        hi = np.searchsorted(size, size[i] * 100 // at_least.percent, "right")
-        if hi <= i + 1:
-            continue
-        root = u.flat()
-        j = i + 1 + np.flatnonzero(root[i + 1 : hi] != root[i])
-        if len(j):
-            j = j[at_least.may_link(np.abs(h[j] - h[i]).sum(1), size[j] + size[i])]
-            u.join(i, j)
+    ends = np.searchsorted(size, size * 100 // at_least.percent, "right")
+    i = 0
+    while i < len(n):
+        # documents with as many buckets as this one, then all larger ones that they may link to
+        buckets = len(hist[order[i]])
+        stop = i + 1
+        while stop < len(n) and len(hist[order[stop]]) == buckets and stop - i < MAX_DOCS:
+            stop += 1
+        h = np.stack([fold(hist[k], buckets) for k in order[i : max(stop, int(ends[stop - 1]))]])
+        for a in range(i, stop):
+            root = u.flat()
+            b = a + 1 + np.flatnonzero(root[a + 1 : ends[a]] != root[a])
+            if len(b):
+                b = b[at_least.may_link(np.abs(h[b - i] - h[a - i]).sum(1), size[b] + size[a])]
+                u.join(a, b)
+        i = stop
     out = np.empty(len(n), np.int64)
     out[order] = order[u.flat()]
     return out
@@ -131,7 +146,8 @@ def metric_join(sets: Sets, at_least: Threshold, done: np.ndarray) -> np.ndarray
     copied into each region whose pivot is at most 2 epsilon further away, so by the triangle
     inequality two linked documents meet in the region of either one. Documents within epsilon of a
     pivot link to it. Regions are joined in the same way again, until they are small or pivots
-    do not part them; then every document is compared with those it has no path to yet.
+    hardly part them (the copies made are half of the documents or more); then every document
+    is compared with those it has no path to yet.
     """
     u = Union(len(sets.n))
     first = np.flatnonzero(done)
@@ -153,7 +169,7 @@ def metric_join(sets: Sets, at_least: Threshold, done: np.ndarray) -> np.ndarray
             far = np.stack([link(int(p))[members] for p in pivots])
             window = far <= far.min(0) + 2 * at_least.epsilon + 1e-9
             parts = [members[w] for w in window if w.any()]
-            if max(map(len, parts)) < len(members):
+            if sum(map(len, parts)) <= 1.5 * len(members) and max(map(len, parts)) < len(members):
                 for part in parts:
                     region(part)
                 return
@@ -200,8 +216,9 @@ def _sketch(n: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         cache, total = WordHashes(), np.zeros(SKETCH, np.int64)
         for b in batches:
-            for x in b.column("_text").to_pylist():
-                np.add.at(total, shingles(x, n, cache) & (SKETCH - 1), 1)
+            cells = [shingles(x, n, cache) & (SKETCH - 1) for x in b.column("_text").to_pylist()]
+            if cells:
+                total += np.bincount(np.concatenate(cells), minlength=SKETCH)
         if total.any():
             for i in range(0, SKETCH, CHUNK):
                 yield pa.RecordBatch.from_arrays([pa.array([i // CHUNK], pa.int32()), pa.array([total[i : i + CHUNK].tobytes()], pa.binary())], ["chunk", "counts"])
@@ -260,11 +277,15 @@ def _describe(n: int, at_least: Threshold, classes: Callable[[], np.ndarray]) ->
 
 
 def _sets(n: int) -> Callable[[Batches], Batches]:
+    """The set of each wanted text; a text that isn't the wanted one of its identifier goes."""
+
     def run(batches: Batches) -> Batches:
         cache = WordHashes()
         for b in batches:
             s = [shingles(x, n, cache) for x in b.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(x) for x in s], pa.int64()), b.column("_want"), pa.array([x.tobytes() for x in s], pa.binary())], ["key", "_want", "items"])
+            same = pa.array([set_key(x) == k for x, k in zip(s, b.column("key").to_pylist(), strict=True)], pa.bool_())
+            items = pa.array([x.tobytes() for x in s], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("region"), b.column("key"), b.column("n"), items], ["region", "key", "n", "items"]).filter(same)
 
     return run
 
@@ -274,8 +295,7 @@ def _candidates(percent: int) -> Callable[[Batches], Batches]:
         at_least = Threshold(percent)
         pairs: list[tuple[int, int]] = []
         for g in _groups(batches, ["region", "task"]):
-            hist = np.frombuffer(b"".join(g["hist"]), np.uint8).reshape(-1, BUCKETS)
-            root = join_histograms(hist, np.array(g["n"], np.int64), at_least, np.array(g["near"], bool))
+            root = join_histograms(g["hist"], np.array(g["n"], np.int64), at_least, np.array(g["near"], bool))
             pairs += [(g["key"][r], k) for r, k in zip(root.tolist(), g["key"], strict=True) if g["key"][r] != k]
             if len(pairs) > 50_000:
                 yield _edges(pairs)
@@ -312,40 +332,44 @@ def _near(percent: int, exact: bool) -> Callable[[Batches], Batches]:
                     far = 1 - both / max(1, n + m - both)
                     ring.append(int(far / max(at_least.epsilon, 1e-9) + 1e-9))
                 else:
-                    differ = np.abs(np.frombuffer(x, np.uint8).astype(np.int16) - np.frombuffer(p, np.uint8)).sum()
+                    buckets = min(len(x), len(p))
+                    differ = np.abs(fold(x, buckets) - fold(p, buckets)).sum()
                     near.append(bool(at_least.may_link(np.int64(differ), np.int64(n + m))))
                     ring.append(0)
-            yield pa.RecordBatch.from_arrays([b.column("region"), b.column("key"), pa.array(near, pa.bool_()), pa.array(ring, pa.int32())], ["region", "key", "near", "ring"])
+            kept = ["region", "_pivot", "key", "n", "own"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(near, pa.bool_()), pa.array(ring, pa.int32())], [*kept, "near", "ring"])
 
     return run
 
 
-def _dealt(members: DataFrame, own: str, percent: int, exact: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Tasks (region, task, key, n, own, near) that compare all members of each region that may
-    link and have no path yet, and edges to pivots. members: region, key, n, own.
+def _sized(members: DataFrame, exact: bool) -> DataFrame:
+    """Of each region of two members or more, whether one task can hold it, and its pivot: the
+    member whose key is the region's, or the smallest."""
+    here = F.max((F.col("key") == F.col("region")).cast("int"))
+    total = F.sum("n") if exact else F.lit(0)
+    size = members.groupBy("region").agg(F.count(F.lit(1)).alias("_docs"), total.alias("_sum"), F.when(here == 1, F.col("region")).otherwise(F.min("key")).alias("_pivot"))
+    large = (F.col("_docs") > MAX_DOCS) | (F.col("_sum") > MAX_SHINGLES)
+    return materialize(size.where("_docs > 1").select("region", "_pivot", large.alias("_large")), "jaccard-regions")
+
 
-    A region that fits is one task. In a larger one, members within reach of its pivot (the member
-    with the region's key, or the smallest) are linked to it and are not compared with each
-    other. The rest, the open ones, are cut into blocks; blocks meet in pairs, of which one is open,
-    and by the triangle inequality only if their rings around the pivot touch.
+def _whole(rows: DataFrame) -> DataFrame:
+    """Regions that are one task each."""
+    return rows.withColumn("task", F.lit(0).cast("long")).withColumn("near", F.lit(False))
+
+
+def _blocks(large: DataFrame, pivots: DataFrame, own: str, percent: int, exact: bool) -> tuple[DataFrame, DataFrame]:
+    """Tasks that compare all members of each large region that may link and have no path yet,
+    and edges to pivots. large: region, _pivot, key, n, own. pivots: those of them with key = _pivot.
+
+    Members within reach of their region's pivot are linked to it and are not compared with each
+    other. The rest, the open ones, are cut into blocks; blocks meet in pairs, of which one is
+    open, and by the triangle inequality only if their rings around the pivot touch.
     """
-    size = members.groupBy("region").agg(F.count(F.lit(1)).alias("_docs"), F.sum("n").alias("_sum"), F.min("key").alias("_first"), F.max((F.col("key") == F.col("region")).cast("int")).alias("_in"))
-    if not exact:
-        size = size.withColumn("_sum", F.lit(0).cast("long"))
     blocks = lambda docs, total: F.greatest(F.ceil(docs / (MAX_DOCS // 2)), F.ceil(total / (MAX_SHINGLES // 2))).cast("int")
-    size = size.where("_docs > 1").withColumn("_large", (F.col("_docs") > MAX_DOCS) | (F.col("_sum") > MAX_SHINGLES))
-    size = materialize(size, "jaccard-regions")
-    rows = members.join(size, "region")
-    cols = ["region", "task", "key", "n", own, "near"]
-    small = rows.where("not _large").withColumn("task", F.lit(0).cast("long")).withColumn("near", F.lit(False)).select(*cols)
-    if size.where("_large").isEmpty():
-        return small, None
-    large = rows.where("_large").withColumn("_pivot", F.when(F.col("_in") == 1, F.col("region")).otherwise(F.col("_first")))
-    pivots = large.where("key = _pivot").select("region", F.col(own).alias("pivot"), F.col("n").alias("pivot_n"))
-    seen = large.join(pivots, "region").select("region", "key", "n", F.col(own).alias("own"), "pivot", "pivot_n")
-    seen = seen.mapInArrow(_near(percent, exact), "region long, key long, near boolean, ring int")
-    seen = materialize(seen, "jaccard-near")
-    large = large.join(seen, ["region", "key"])
+    pivots = pivots.select("region", F.col(own).alias("pivot"), F.col("n").alias("pivot_n")).dropDuplicates(["region"])
+    seen = large.join(pivots, "region").select("region", "_pivot", "key", "n", F.col(own).alias("own"), "pivot", "pivot_n")
+    seen = seen.mapInArrow(_near(percent, exact), "region long, _pivot long, key long, n long, own binary, near boolean, ring int")
+    large = materialize(seen, "jaccard-near").withColumnRenamed("own", own)
     # rings are blocks of their own: (ring, open or near, part of it)
     count = large.groupBy("region", "ring", "near").agg(F.count(F.lit(1)).alias("_d"), F.sum("n").alias("_s"))
     count = count.withColumn("_parts", F.greatest(F.lit(1), blocks(F.col("_d"), F.col("_s") if exact else F.lit(0))))
@@ -361,18 +385,30 @@ def _dealt(members: DataFrame, own: str, percent: int, exact: bool) -> tuple[Dat
     theirs = F.flatten(F.transform("_others", lambda o: F.transform(F.sequence(F.lit(0), o["p2"] - 1), lambda k: name(o["r2"], o["n2"], k))))
     dealt = dealt.withColumn("_other", F.explode(theirs)).withColumn("_mine", mine)
     task = F.xxhash64(F.least("_mine", "_other"), F.greatest("_mine", "_other"))
-    dealt = dealt.withColumn("task", task).select(*cols)
-    star = seen.where("near").join(large.select("region", "_pivot").distinct(), "region").select(F.col("_pivot").alias("a"), F.col("key").alias("b"))
-    return small.unionByName(dealt), star
+    star = large.where("near").select(F.col("_pivot").alias("a"), F.col("key").alias("b"))
+    return dealt.withColumn("task", task), star
+
+
+def _both(rows: DataFrame, own: str, percent: int, exact: bool) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Tasks and edges to pivots of regions of either kind. rows: as for _blocks(), and _large."""
+    tasks, large = [_whole(rows.where("not _large"))], rows.where("_large")
+    if large.isEmpty():
+        return tasks, []
+    part, star = _blocks(large, large.where("key = _pivot"), own, percent, exact)
+    return [*tasks, part], [star]
 
 
-def _joined(members: DataFrame, own: str, percent: int, exact: bool) -> DataFrame:
-    """Edges of all regions of members."""
-    tasks, star = _dealt(members, own, percent, exact)
-    tasks = tasks.withColumnRenamed(own, "items" if exact else "hist")
-    tasks = tasks.repartition("region", "task").sortWithinPartitions("region", "task", "key")
-    edges = tasks.mapInArrow(_verified(percent) if exact else _candidates(percent), "a long, b long")
-    return edges.unionByName(star) if star is not None else edges
+def _joined(tasks: list[DataFrame], stars: list[DataFrame], own: str, percent: int, exact: bool) -> DataFrame:
+    """Edges of all tasks and those to pivots."""
+    cols = ["region", "task", "key", "n", "near", own]
+    rows = tasks[0].select(*cols)
+    for t in tasks[1:]:
+        rows = rows.unionByName(t.select(*cols))
+    rows = rows.repartition("region", "task").sortWithinPartitions("region", "task", "key")
+    edges = rows.mapInArrow(_verified(percent) if exact else _candidates(percent), "a long, b long")
+    for s in stars:
+        edges = edges.unionByName(s)
+    return edges
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -387,7 +423,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     1. Equal sets are one document. 2. Each region is joined on histograms, whose distance bounds
     the sets' distance from below; what may link is grouped. 3. The groups' sets are read again and
     each group is joined exactly and recursively by metric_join(). Regions and groups above
-    MAX_DOCS or MAX_SHINGLES are split over tasks by rings around a pivot (see _dealt()). Paths, not
+    MAX_DOCS or MAX_SHINGLES are split over tasks by rings around a pivot (see _blocks()). Paths, not
     pairs, are kept, so a group of copies costs a row per document. 4. Components of the links.
 
     Set sizes and links are exact but for collisions of 64-bit hashes. Texts without words (null,
@@ -419,16 +455,29 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     hot = hot.join(pivot.drop("_last"), "cell")  # may be split where a cell is frequent
     members = cold.select("region", "key").unionByName(hot.select("region", "key")).distinct()
     members = materialize(members, "jaccard-members")
-    may = components(_joined(members.join(sets.drop("_id"), "key"), "hist", percent, False))
+    members = members.join(_sized(members, False), "region")
+    rows = members.join(sets.drop("_id"), "key")
+    tasks, stars = _both(rows, "hist", percent, False)
+    may = components(_joined(tasks, stars, "hist", percent, False))
     may = may.withColumnRenamed("label", "region").withColumnRenamed("node", "key")
 
-    # the sets of what may link, from the documents' texts
-    wanted = may.join(sets.drop("hist"), "key").select(F.col("key").alias("_want"), F.col("_id").alias("_wid"), "region", "n")
-    wanted = materialize(wanted, "jaccard-wanted")
-    texts = text.join(wanted.select("_want", "_wid"), F.col("_id").eqNullSafe(F.col("_wid"))).select("_text", "_want")
-    items = texts.mapInArrow(_sets(words), "key long, _want long, items binary").where("key = _want").drop("_want").dropDuplicates(["key"])
-    groups = wanted.select(F.col("_want").alias("key"), "region", "n").join(items, "key").select("region", "key", "n", "items")
-    linked = components(_joined(materialize(groups, "jaccard-groups"), "items", percent, True))
+    # the sets of what may link, from the documents' texts; what is wanted grows with the input, so
+    # that join is the same at every size
+    wanted = materialize(may.join(sets.drop("hist"), "key").withColumnRenamed("_id", "_wid"), "jaccard-wanted")
+    rows = materialize(wanted.join(_sized(wanted, True), "region"), "jaccard-groups")
+
+    def with_sets(part: DataFrame) -> DataFrame:
+        """region, key, n, items of the wanted documents; a repeated row repeats its set."""
+        return text.join(part, F.col("_id").eqNullSafe(F.col("_wid"))).select("_text", "region", "key", "n").mapInArrow(_sets(words), "region long, key long, n long, items binary")
+
+    tasks, stars = [_whole(with_sets(rows.where("not _large").hint("merge")))], []
+    large = materialize(rows.where("_large"), "jaccard-large-rows")  # few, so its join may need no shuffle of texts
+    if not large.isEmpty():
+        whose = large.select("region", "_pivot").distinct()
+        members = with_sets(large).dropDuplicates(["region", "key"]).join(whose, "region")
+        part, star = _blocks(members, with_sets(large.where("key = _pivot")), "items", percent, True)
+        tasks, stars = [*tasks, part], [star]
+    linked = components(_joined(tasks, stars, "items", percent, True))
 
     low = linked.join(sets.select("key", "_id"), linked["node"] == sets["key"]).select("node", "label", "_id")
     smallest = low.groupBy("label").agg(F.min("_id").alias("_low"))
