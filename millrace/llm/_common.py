@@ -63,7 +63,7 @@ def release(spark: SparkSession, paths: list[str] | None = None) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound the rows of an Arrow batch, since single texts can be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

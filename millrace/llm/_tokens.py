@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from pathlib import Path
 
 #: Pieces that a worker remembers before it starts anew.
-CACHE = 400_000
+CACHE = 300_000
 #: A space with white space beside it belongs to that run, so a text may not be cut there.
 _RUN = re.compile(r" \s|\s ")
 

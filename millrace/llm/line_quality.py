@@ -52,7 +52,7 @@ class Base(NamedTuple):
 
 class _WordIds(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()  # ids are hashes, so a new start changes nothing
         self[word] = out = zlib.crc32(word) | zlib.adler32(word[::-1]) << 32
         return out

@@ -162,7 +162,7 @@ def _score(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 for w in words(text):
                     c = calls.get(w)
                     if c is None:
-                        if len(calls) > 500_000:
+                        if len(calls) > 200_000:
                             calls.clear()
                         calls[w] = c = tuple(v for v in candidates(w) if v in model.weight)
                     if c:
