@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,3 +88,12 @@ def power_of_two(n: int) -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """What a Python worker makes once and keeps for its next tasks. Functions reach a worker
+    with globals of their own in each task, so it is held by a module of the worker's."""
+    held = sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")).__dict__.setdefault("held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]

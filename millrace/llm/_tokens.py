@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+from itertools import accumulate, chain, pairwise
 from pathlib import Path
 
-#: Pieces that a worker remembers before it starts anew.
-CACHE = 300_000
+import numpy as np
+
+#: Pieces in the younger half of a worker's memory; the older half holds as many at most.
+CACHE = 700_000
 #: A space with white space beside it belongs to that run, so a text may not be cut there.
 _RUN = re.compile(r" \s|\s ")
+_PLAIN = re.compile(r" ?\S+")
+_LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!-&(-/:-@\[-`{-~]*")
 
 
 def version_digest(path: str) -> str:
@@ -18,64 +23,103 @@ def version_digest(path: str) -> str:
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
 
-class _Ids(dict):
-    """Token ids of a piece, as little-endian 32-bit integers."""
+class Pieces(dict):
+    """What is known of pieces, in two generations: what a full younger one holds becomes the older
+    one, from which a piece that is met again comes back."""
 
-    def __init__(self, encode: Callable[[str], Iterable[int]]):
-        self.encode = encode
+    def __init__(self) -> None:
+        self.old: dict = {}
 
-    def __missing__(self, piece: str) -> bytes:
+    def age(self) -> None:
+        """To be called between batches."""
         if len(self) > CACHE:
+            self.old = dict(self)
             self.clear()
-        self[piece] = out = b"".join(i.to_bytes(4, "little") for i in self.encode(piece))
-        return out
 
+    def unknown(self, pieces: set[str]) -> list[str]:
+        """Of pieces that the younger half lacks, those that must be computed; it has the others then."""
+        if not self.old:
+            return list(pieces)
+        back = {p: self.old[p] for p in pieces if p in self.old}
+        self.update(back)
+        return [p for p in pieces if p not in back]
 
-def word_encoder(path: str) -> Callable[[str], bytes]:
-    """Ids of a text for a vocabulary that drops white space: its parts between white space are
-    encoded one by one. Special tokens must hold no white space."""
-    from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    ids = _Ids(lambda x: t.encode(x, add_special_tokens=False).ids)
-    # cut at spaces and newlines only: the library sees any rarer white space itself
-    return lambda text: b"".join(map(ids.__getitem__, text.replace("\n", " ").split(" ")))
+def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids (little-endian, 32 bits) of texts for a vocabulary that drops white space, lowers case and
+    marks the last token of each run of letters or signs with </w>.
 
+    Texts are cut at spaces and newlines, rarer white space is left to the library. Unknown pieces
+    of Latin-1 letters with a sign behind them or none, which the normaliser would only lower, are
+    encoded in one text, and word ends tell their ids apart. Special tokens must hold no white space.
+    """
+    from tokenizers import Tokenizer
 
-def counter(path: str) -> Callable[[str], int]:
-    """Number of tokens of a text, without begin, end or added special tokens.
+    t, bare, known = Tokenizer.from_file(path), Tokenizer.from_file(path), Pieces()
+    bare.normalizer = None
+    vocabulary = t.get_vocab(with_added_tokens=False)
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
+    encode = lambda x: np.array(t.encode(x, add_special_tokens=False).ids, "<u4")
+
+    def learn(new: list[str]) -> None:
+        plain = [p for p in new if _LATIN.fullmatch(p)]
+        if plain:
+            ids = np.array(bare.encode_batch_fast([" ".join(plain).lower()], add_special_tokens=False)[0].ids, "<u4")
+            raw, runs = ids.tobytes(), np.cumsum([1 if p[-1].isalpha() else 2 for p in plain])
+            cut = (4 * (np.flatnonzero(ends[ids])[runs - 1] + 1)).tolist()
+            known.update((p, raw[a:b]) for p, (a, b) in zip(plain, pairwise([0, *cut]), strict=True))
+        known.update((p, encode(p).tobytes()) for p in new if p not in known)
+
+    def run(texts: list[str]) -> list[bytes]:
+        known.age()
+        parts = [x.replace("\n", " ").split(" ") for x in texts]
+        flat = list(chain.from_iterable(parts))
+        got = list(map(known.get, flat))
+        if None in got:
+            learn(known.unknown({p for p, x in zip(flat, got, strict=True) if x is None}))
+            got = [known[p] if x is None else x for p, x in zip(flat, got, strict=True)]
+        at = [0, *accumulate(map(len, parts))]
+        return [b"".join(got[a:b]) for a, b in pairwise(at)]
+
+    return run
+
+
+def counter(path: str) -> Callable[[list[str]], list[int]]:
+    """Numbers of tokens of texts, without begin, end or added special tokens.
 
     .json: a byte-level vocabulary, whose pieces may start with one space; a text is cut before
     each space that has no other white space beside it, which no token of such a vocabulary
-    crosses. .model: sentencepiece, whole texts.
+    crosses. Unknown pieces are encoded in one text, a newline after each, which is a token of its
+    own there. .model: sentencepiece, whole texts.
     """
     if path.endswith(".model"):
         import sentencepiece
 
         p = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda text: len(p.encode(text, num_threads=1))
+        return lambda texts: [len(x) for x in p.encode(texts, num_threads=1)]
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    whole = lambda text: len(t.encode(text, add_special_tokens=False).ids)
-
-    class Counts(dict):
-        def __missing__(self, piece: str) -> int:
-            if len(self) > CACHE:
-                self.clear()
-            self[piece] = n = whole(piece)
-            return n
-
-    counts = Counts()
-
-    def count(text: str) -> int:
-        if _RUN.search(text):
-            parts, at = [], 0
-            for m in re.finditer(r"(?<=\S) (?=\S)", text):
-                parts.append(text[at : m.start()])
-                at = m.start()
-            return sum(map(counts.__getitem__, [*parts, text[at:]]))
-        first, *rest = text.split(" ")
-        return (counts[first] if first else 0) + sum([counts[" " + x] for x in rest])
-
-    return count
+    t, known = Tokenizer.from_file(path), Pieces()
+    encode = lambda x: t.encode(x, add_special_tokens=False).ids
+    newline = encode("\n")
+
+    def cut(text: str) -> list[str]:
+        if not _RUN.search(text):
+            first, *rest = text.split(" ")
+            return [first, *[" " + x for x in rest]]
+        at = [0, *[m.start() for m in re.finditer(r"(?<=\S) (?=\S)", text)], len(text)]
+        return [text[a:b] for a, b in pairwise(at)]
+
+    def run(texts: list[str]) -> list[int]:
+        known.age()
+        parts = [cut(x) for x in texts]
+        new = known.unknown(set().union(*parts).difference(known))
+        plain = [p for p in new if _PLAIN.fullmatch(p)] if len(newline) == 1 else []
+        if plain:
+            ends = np.flatnonzero(np.array(encode("".join(f"{p}\n" for p in plain))) == newline[0])
+            known.update(zip(plain, (np.diff(ends, prepend=-1) - 1).tolist(), strict=True))
+        known.update((p, len(encode(p))) for p in new if p not in known)
+        return [sum(map(known.__getitem__, p)) for p in parts]
+
+    return run

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialize, power_of_two, small_batches
+from millrace.llm._common import materialize, per_worker, power_of_two, small_batches
 from millrace.llm._components import components
 from millrace.llm._shingles import WordHashes, set_key, shingles
 
@@ -214,7 +214,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _sketch(n: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        cache, total = WordHashes(), np.zeros(SKETCH, np.int64)
+        cache, total = per_worker(("words",), WordHashes), np.zeros(SKETCH, np.int64)
         for b in batches:
             cells = [shingles(x, n, cache) & (SKETCH - 1) for x in b.column("_text").to_pylist()]
             if cells:
@@ -256,7 +256,7 @@ def _describe(n: int, at_least: Threshold, classes: Callable[[], np.ndarray]) ->
     """Per document: its set's key, size and histogram, and the rarest shingles as its cells."""
 
     def run(batches: Batches) -> Batches:
-        cache, order = WordHashes(), classes()
+        cache, order = per_worker(("words",), WordHashes), classes()
         for b in batches:
             keys, sizes, hist, cells, cold = [], [], [], [], []
             for x in b.column("_text").to_pylist():
@@ -280,7 +280,7 @@ def _sets(n: int) -> Callable[[Batches], Batches]:
     """The set of each wanted text; a text that isn't the wanted one of its identifier goes."""
 
     def run(batches: Batches) -> Batches:
-        cache = WordHashes()
+        cache = per_worker(("words",), WordHashes)
         for b in batches:
             s = [shingles(x, n, cache) for x in b.column("_text").to_pylist()]
             same = pa.array([set_key(x) == k for x, k in zip(s, b.column("key").to_pylist(), strict=True)], pa.bool_())

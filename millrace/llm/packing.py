@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialize, small_batches, text_or_empty
+from millrace.llm._common import materialize, per_worker, small_batches, text_or_empty
 from millrace.llm._tokens import word_encoder
 
 #: Tails that share one index; the memory and time of a task follow it, not the input.
@@ -26,11 +26,11 @@ def _tokenize(path: str, window: int, end: int) -> Callable[[Iterator[pa.RecordB
     """Each text's full windows (their checksums) and the tail behind them (its ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, stop = word_encoder(path), end.to_bytes(4, "little")
+        encode, stop = per_worker(("word_encoder", path), lambda: word_encoder(path)), end.to_bytes(4, "little")
         for b in batches:
             rows = []
-            for i, text in zip(b.column("doc_id").to_pylist(), b.column("_text").to_pylist(), strict=True):
-                ids = encode(text) + stop
+            for i, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("_text").to_pylist()), strict=True):
+                ids += stop
                 n = len(ids) // 4
                 cut = n // window * window
                 tail = np.frombuffer(ids, "<u4", offset=4 * cut)
@@ -106,11 +106,10 @@ def pack_shard(lengths: list[int], index: Index, window: int) -> tuple[list[list
         if room:
             order = np.argsort(-index.scores(seed), kind="stable")
             order = order[rest[order] > 0]
-            for d in order:
-                if 0 < rest[d] <= room:
-                    use(int(d), int(rest[d]))
-                if not room:
-                    break
+            behind = order
+            while room and len(fits := np.flatnonzero(rest[behind] <= room)):
+                use(int(behind[fits[0]]), int(rest[behind[fits[0]]]))
+                behind = behind[fits[0] + 1 :]
             for d in order:
                 if not room:
                     break
