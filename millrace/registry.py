@@ -1,15 +1,333 @@
-"""All registered queries of the engine and the SQL that checks them."""
+"""All registered queries of the engine over the driver's tables, each beside the SQL that checks it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from millrace.functions import dates, location, money, nested, text
+from millrace.lexicon import Family, Lexicon, SubCategory
+from millrace.operators import gates, store
+from millrace.operators.classify import classify, matches
+from millrace.sources import readers
+from millrace.streaming import incremental
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: A lexicon of terms that occur in the tables: what they can show of the kernel.
+DEMO = Lexicon(
+    families=(
+        Family("Licensing", "licensed|license|released under|rights reserved"),
+        Family("Markup", "###|%%%|[$]{3}|&&&|[*]{3}", least=4),
+        Family("Contact", "mail[0-9]|tel[.:]|phone", needs_title_or_skills=True),
+        Family("Prose", "tion|ment|heit|ingth", least=6),
+    ),
+    subcategories=(SubCategory("Permissive", "Open", "apache license|mit license", "apache|mit", "version"), SubCategory("Copyleft", "Open", "gnu general public", "gnu|public|cc by", "version")),
+    veto="idiot|moron",
+    coarse=("Contact",),
+)
+_HITS = "len(list_distinct(list_transform(regexp_extract_all({field}, '(?i){pattern}'), lambda m: lower(m))))"
+
+
+def _family_sql(lexicon: Lexicon) -> str:
+    rows = []
+    for i, f in enumerate(lexicon.families):
+        h = {n: _HITS.format(field=n, pattern=f.pattern) for n, _ in lexicon.weights}
+        score = " + ".join(f"{w} * {h[n]}" for n, w in lexicon.weights)
+        strict = f"AND NOT ({h['title']} = 0 AND {h['skills']} = 0)" if f.needs_title_or_skills else ""
+        fields = "concat_ws('|', " + ", ".join(f"CASE WHEN {h[n]} > 0 THEN '{n}' END" for n, _ in lexicon.weights) + ")"
+        rows.append(f"SELECT doc_id, {score} AS score, {i} AS place, '{f.name}' AS name, {fields} AS fields FROM f WHERE {score} >= {f.least} {strict}")
+    return "\nUNION ALL ".join(rows)
+
+
+@query(f"""
+WITH f AS (SELECT doc_id, split_part(coalesce(text, ''), chr(10), 1) AS title, coalesce(source, '') AS skills, left(coalesce(text, ''), 4000) AS description FROM documents),
+veto AS (SELECT doc_id, regexp_extract(title || ' ' || skills, '(?i)(idiot|moron)', 1) AS vetoed_by FROM f),
+scored AS ({_family_sql(DEMO)}),
+best AS (SELECT doc_id, arg_min(name, (-score, place)) AS role_family, max(score) AS score, arg_min(fields, (-score, place)) AS matched_in,
+  string_agg(name || '=' || score, ';' ORDER BY -score, place) AS family_scores FROM scored GROUP BY doc_id)
+SELECT f.doc_id, vetoed_by = '' AND b.doc_id IS NOT NULL AS in_scope, CASE WHEN vetoed_by = '' THEN coalesce(role_family, '') ELSE '' END AS role_family,
+  CASE WHEN vetoed_by = '' THEN coalesce(family_scores, '') ELSE '' END AS family_scores,
+  CASE WHEN vetoed_by = '' AND b.doc_id IS NOT NULL THEN CASE WHEN score >= 5 THEN 'high' WHEN score >= 3 THEN 'medium' ELSE 'low' END ELSE '' END AS family_confidence,
+  CASE WHEN vetoed_by = '' THEN coalesce(matched_in, '') ELSE '' END AS matched_in, vetoed_by
+FROM f JOIN veto USING (doc_id) LEFT JOIN best b USING (doc_id)""")
+def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classifier over all documents: first line as title, source as skills."""
+    d = _t(spark, sf_dir, "documents")
+    body = F.coalesce("text", F.lit(""))
+    v = classify(F.substring_index(body, "\n", 1), F.col("source"), body, DEMO)
+    return d.select("doc_id", v.alias("v")).select("doc_id", "v.in_scope", "v.role_family", "v.family_scores", "v.family_confidence", "v.matched_in", "v.vetoed_by")
+
+
+@query(_sql["classify_documents"].replace("SELECT f.doc_id, vetoed_by", "SELECT role_family, count(*) AS n FROM (SELECT f.doc_id, vetoed_by").rstrip() + ") WHERE in_scope GROUP BY role_family")
+def count_by_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_documents(spark, sf_dir).where("in_scope").groupBy("role_family").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, len(list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '(?i)licensed|license|apache|mit|gnu'), lambda m: lower(m)))) AS n FROM documents")
+def distinct_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.coalesce("text", F.lit(""))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.size(matches(body, "licensed|license|apache|mit|gnu")).cast("long").alias("n"))
+
+
+@query("""
+SELECT doc_id, text_key, n_copies FROM (SELECT doc_id, md5(coalesce(text, '')) AS text_key,
+  row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id) AS rn, count(*) OVER (PARTITION BY md5(coalesce(text, ''))) AS n_copies FROM documents) WHERE rn = 1""")
+def keep_first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _t(spark, sf_dir, "documents").select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key"))
+    first = store.keep_first(d, ("text_key",), [F.col("doc_id")])
+    return first.join(d.groupBy("text_key").agg(F.count(F.lit(1)).alias("n_copies")), "text_key").select("doc_id", "text_key", "n_copies")
+
+
+@query("""
+SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
+def keep_last_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").withColumn("seq", F.struct("o_orderdate", "o_orderkey"))
+    return store.keep_last(o, ("o_custkey",), "seq").select("o_custkey", "o_orderkey")
+
+
+@query("""
+SELECT source, lang, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY length(coalesce(text, '')) DESC, n_chars DESC NULLS LAST, doc_id) AS rn FROM documents) WHERE rn = 1""")
+def best_of_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _t(spark, sf_dir, "documents")
+    prefer = [F.length(F.coalesce("text", F.lit(""))).desc(), F.col("n_chars").desc_nulls_last(), F.col("doc_id")]
+    return store.best_of_group(d, [F.col("source"), F.col("lang")], prefer).select("source", "lang", "doc_id")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def unknown_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = _t(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz '1998-01-01'").select(F.col("o_orderkey").alias("job_id"), "o_custkey")
+    known = _t(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("job_id"))
+    return store.unknown(new, known, key=("job_id",)).select(F.col("job_id").alias("o_orderkey"), "o_custkey")
+
+
+@query("""
+SELECT CASE WHEN m.o_orderkey IS NULL THEN 'new' WHEN f.o_orderkey IS NULL THEN 'kept' WHEN m.price IS DISTINCT FROM f.price THEN 'updated' ELSE 'unchanged' END AS status, count(*) AS n,
+  CAST(round(sum(CAST(CASE WHEN f.o_orderkey IS NOT NULL AND (m.o_orderkey IS NULL OR m.price IS DISTINCT FROM f.price) THEN f.price ELSE m.price END AS DECIMAL(18, 2))), 2) AS DOUBLE) AS total
+FROM (SELECT o_orderkey, o_totalprice AS price FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01') m
+FULL JOIN (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01') f ON m.o_orderkey = f.o_orderkey
+GROUP BY 1""")
+def upsert_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders")
+    master = o.where("o_orderdate < timestamp_ntz '1998-01-01'").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    fetched = o.where("o_orderdate >= timestamp_ntz '1996-01-01'").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("price"))
+    out = store.upsert(master, fetched, "o_orderkey", "price")
+    return out.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
+@query("""
+SELECT event_type, late, count(*) AS n, CAST(round(sum(CAST(value AS DECIMAL(18, 4))), 4) AS DOUBLE) AS total
+FROM (SELECT *, ts < (SELECT max(ts) FROM events) - INTERVAL 2 DAY AS late FROM events) GROUP BY ALL""")
+def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = incremental.late_split(_t(spark, sf_dir, "events"), "ts")
+    return e.groupBy("event_type", "late").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("total"))
+
+
+@query("""
+SELECT user_id, CAST(max(ts) AS DATE) AS newest, CAST(max(ts) AS DATE) - 2 AS cutoff, count(*) FILTER (WHERE CAST(ts AS DATE) >= m.d - 2) AS in_window
+FROM events JOIN (SELECT user_id AS u, CAST(max(ts) AS DATE) AS d FROM events GROUP BY 1) m ON u = user_id GROUP BY user_id""")
+def watermark_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    newest = e.groupBy("user_id").agg(F.max("day").alias("newest")).withColumn("cutoff", dates.cutoff(F.col("newest"), F.lit("2024-12-31").cast("date")))
+    return e.join(newest, "user_id").groupBy("user_id", "newest", "cutoff").agg(F.count_if(gates.recent_or_unknown(F.col("day"), F.col("cutoff"))).alias("in_window"))
+
+
+@query("""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, CAST(round(sum(CAST(value AS DECIMAL(18, 4))), 4) AS DOUBLE) AS total FROM events GROUP BY ALL""")
+def hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events").withColumn("value", F.col("value").cast("decimal(18,4)"))
+    out = incremental.windowed_counts(e, "ts", "event_type", "value")
+    return out.withColumn("total", F.col("total").cast("double")).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
+def json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events").withColumn("p", F.from_json("props", "k int"))
+    return e.groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
+
+
+@query("""
+SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '(?is)<a\\b[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS n_links,
+  array_to_string(regexp_extract_all(html, '(?is)<a\\b[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1)[1:3], '|') AS first_links FROM pages""")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "pages").withColumn("a", readers.anchors(F.col("html")))
+    first = F.array_join(F.transform(F.slice("a", 1, 3), lambda x: x["href"]), "|")
+    return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size("a").cast("long").alias("n_links"), first.alias("first_links"))
+
+
+_ENTITIES = "x"
+for _e, _c in text.ENTITIES:
+    _ENTITIES = "replace({}, '{}', '{}')".format(_ENTITIES, _e, _c.replace("'", "''"))
+
+
+@query(f"""
+WITH a AS (SELECT page_id, regexp_replace(coalesce(html, ''), '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g') AS x FROM pages),
+b AS (SELECT page_id, regexp_replace(x, '(?i)</?(?:p|div|br|li|ul|ol|tr|td|th|table|h[1-6]|section|article|header|footer|nav|hr|blockquote)\\b[^>]*>', ' ', 'g') AS x FROM a),
+c AS (SELECT page_id, regexp_replace(x, '<[^>]*>', ' ', 'g') AS x FROM b)
+SELECT page_id, trim(regexp_replace({_ENTITIES}, '\\s+', ' ', 'g')) AS body FROM c""")
+def strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("body"))
+
+
+@query("""
+SELECT doc_id, trim(regexp_replace(regexp_replace(lower(coalesce(source, '')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), '-') AS slug,
+  CASE WHEN length(text) <= 120 THEN text ELSE CASE WHEN length(w) >= 60 THEN w ELSE rtrim(left(text, 120), ' ') END || '…' END AS teaser
+FROM (SELECT *, rtrim(regexp_replace(left(text, 120), '(?s) [^ ]*$', ''), ' ') AS w FROM documents)""")
+def slug_and_teaser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", text.slugify(F.col("source")).alias("slug"), text.truncate(F.col("text"), 120).alias("teaser"))
+
+
+@query("""
+SELECT doc_id, len(list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '[\\w.+-]+@[\\w-]+\\.[\\w.-]*\\w'), lambda m: lower(m)))) AS n_emails FROM documents""")
+def email_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", F.size(text.emails(F.col("text"))).cast("long").alias("n_emails"))
+
+
+@query("""
+WITH s AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) FILTER (WHERE role = 'user') AS src, string_agg(text, ' ' ORDER BY turn) FILTER (WHERE role = 'assistant') AS reply FROM conversations GROUP BY conv_id),
+n AS (SELECT conv_id, list_transform(regexp_extract_all(coalesce(src, ''), '\\d[\\d,]*(?:\\.\\d+)?'), lambda x: replace(x, ',', '')) AS known, list_transform(regexp_extract_all(coalesce(reply, ''), '\\d[\\d,]*(?:\\.\\d+)?'), lambda x: replace(x, ',', '')) AS said,
+  length(coalesce(reply, '')) > length(coalesce(src, '')) * 1.1 AS longer FROM s)
+SELECT conv_id, CAST(len(list_filter(said, lambda x: NOT list_bool_or(list_transform(known, lambda k: contains(k, x))) OR len(known) = 0)) AS BIGINT) AS invented_numbers, longer FROM n""")
+def grounded_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and length of what the assistant says against what the user says, per conversation."""
+    c = _t(spark, sf_dir, "conversations")
+    said = lambda role: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("turn", "text")))), lambda x: x["text"]), " ")
+    both = c.groupBy("conv_id").agg(said("user").alias("src"), said("assistant").alias("reply"))
+    issues = text.rewrite_issues(F.col("src"), F.col("reply"), F.lit(False))
+    count = lambda p: F.size(F.filter("i", lambda x: x.startswith(p)))
+    return both.withColumn("i", issues).select("conv_id", count("invented number").cast("long").alias("invented_numbers"), (count("length") > 0).alias("longer"))
+
+
+@query("""
+SELECT n_name, r_name, count(c_custkey) AS customers FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""")
+def dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, r, c = (_t(spark, sf_dir, t) for t in ("nation", "region", "customer"))
+    per = c.groupBy("c_nationkey").agg(F.count("c_custkey").alias("customers"))
+    return n.join(r, n.n_regionkey == r.r_regionkey).join(per, n.n_nationkey == per.c_nationkey, "left").select("n_name", "r_name", F.coalesce("customers", F.lit(0)).alias("customers"))
+
+
+@query("""
+SELECT CASE WHEN p_size IS NULL THEN 'unknown' WHEN p_size < 10 THEN 'small' WHEN lower(p_type) IN ('economy', 'promo') THEN 'listed' WHEN regexp_matches(p_name, '(?i)ring|widget') THEN 'named' ELSE 'kept' END AS disposition, count(*) AS n FROM part GROUP BY 1""")
+def disposition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "part")
+    order = [("unknown", F.col("p_size").isNull()), ("small", F.col("p_size") < 10), ("listed", gates.listed(F.col("p_type"), ("Economy", "Promo"))), ("named", F.col("p_name").rlike("(?i)ring|widget"))]
+    return p.groupBy(gates.disposition(order).alias("disposition")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT p_brand, array_to_string(list_sort(list_distinct(list(p_type))), '; ') AS types, count(*) AS n FROM part GROUP BY p_brand""")
+def collected_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "part").groupBy("p_brand").agg(nested.joined_set(F.collect_set("p_type")).alias("types"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT user_id, string_agg(event_type, '; ' ORDER BY first_id) AS feeds, min(first_id) AS event_id FROM (SELECT user_id, event_type, min(event_id) AS first_id FROM events GROUP BY ALL) GROUP BY user_id""")
+def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("seq"))
+    e = e.select("user_id", F.col("event_type").alias("feed"), "seq", F.col("seq").alias("event_id"))
+    return store.union_with_provenance(e, key="user_id")
+
+
+@query("SELECT l.quality, l.toxic, count(*) AS n, count(DISTINCT d.source) AS sources, max(n_chars) AS longest FROM documents d JOIN labels l USING (doc_id) GROUP BY ALL")
+def labelled_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, lab = _t(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), _t(spark, sf_dir, "labels")
+    return d.join(lab, "doc_id").groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("source").alias("sources"), F.max("n_chars").alias("longest"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 100")
+def top_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc_nulls_last(), "o_orderkey").limit(100)
+
+
+@query("""
+SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(round(sum(CAST(l_quantity AS DECIMAL(18, 2))), 2) AS DOUBLE) AS sum_qty,
+  CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18, 2))), 2) AS DOUBLE) AS sum_price FROM lineitem WHERE l_shipdate <= TIMESTAMP '2000-09-02' GROUP BY ALL""")
+def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem").where("l_shipdate <= timestamp_ntz '2000-09-02'")
+    dec = lambda c: F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    return li.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), dec("l_quantity").alias("sum_qty"), dec("l_extendedprice").alias("sum_price"))
+
+
+@query("""
+SELECT n_name, CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))), 2) AS DOUBLE) AS revenue, count(DISTINCT o_orderkey) AS orders
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+def revenue_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li, o, c, n = (_t(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation"))
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    price = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
+    return j.groupBy("n_name").agg(F.round(F.sum(price), 2).cast("double").alias("revenue"), F.countDistinct("o_orderkey").alias("orders"))
+
+
+@query("SELECT p_brand, p_type, count(*) AS n, max(p_size) AS largest, grouping_id(p_brand, p_type) AS level FROM part GROUP BY CUBE (p_brand, p_type)")
+def cube_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "part").cube("p_brand", "p_type").agg(F.count(F.lit(1)).alias("n"), F.max("p_size").alias("largest"), F.grouping_id().alias("level"))
+
+
+@query("""
+SELECT o_custkey, o_orderkey, row_number() OVER w AS nth, CAST(date_diff('day', lag(o_orderdate) OVER w, o_orderdate) AS INTEGER) AS gap_days FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""")
+def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    o = _t(spark, sf_dir, "orders")
+    return o.select("o_custkey", "o_orderkey", F.row_number().over(w).cast("long").alias("nth"), F.datediff("o_orderdate", F.lag("o_orderdate").over(w)).alias("gap_days"))
+
+
+@query("""
+SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'""")
+def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, o = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "orders")
+    filled = c.join(o.where("o_orderstatus = 'F'"), c.c_custkey == o.o_custkey, "left_semi").select("c_custkey")
+    return filled.subtract(o.where("o_orderpriority = '1-URGENT'").select("o_custkey"))
+
+
+@query("""
+SELECT p_partkey, CAST(round_even(p_retailprice / 12, 0) AS BIGINT) AS low, CAST(round_even(greatest(p_retailprice, p_size * 100) / 12, 0) AS BIGINT) AS high FROM part""")
+def monthly_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "part")
+    both = money.base_salary(F.col("p_retailprice"), F.greatest("p_retailprice", F.col("p_size") * 100), F.lit("YEAR"))
+    return p.select("p_partkey", both["low"].alias("low"), both["high"].alias("high"))
+
+
+@query("""
+SELECT o_orderkey, CAST(o_orderdate AS DATE) - CAST(o_orderkey % 40 AS INTEGER) AS posted FROM orders""")
+def relative_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.concat(F.lit("Posted "), (F.col("o_orderkey") % 40).cast("string"), F.lit(" Days Ago"))
+    o = _t(spark, sf_dir, "orders").withColumn("label", F.when(F.col("o_orderkey") % 40 == 0, "Posted Today").otherwise(label))
+    return o.select("o_orderkey", dates.posted_on(F.col("label"), F.to_date("o_orderdate")).alias("posted"))
+
+
+@query("""
+SELECT page_id, coalesce(nullif(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1), ''), '') AS id FROM pages""")
+def url_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", F.coalesce(text.url_id(F.col("url")), F.lit("")).alias("id"))
+
+
+@query("SELECT c_custkey, CASE WHEN regexp_matches(c_name, '(?i)pharma|biotech|bio|research|clinical|cro\\b|therapeutics|life sciences') THEN 'pharma' ELSE 'hospital' END AS company_type, regexp_extract(c_name, '#(\\d+)$', 1) AS number FROM customer")
+def company_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "customer").select("c_custkey", location.company_type(F.col("c_name")).alias("company_type"), F.regexp_extract("c_name", r"#(\d+)$", 1).alias("number"))
