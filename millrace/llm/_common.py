@@ -91,9 +91,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
-    """What a Python worker makes once and keeps for its next tasks. Functions reach a worker
-    with globals of their own in each task, so it is held by a module of the worker's."""
+    """What a Python worker makes once and keeps for its next tasks, until another key is asked
+    for: a worker holds one such thing. Functions reach a worker with globals of their own in each
+    task, so it is held by a module of the worker's."""
     held = sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")).__dict__.setdefault("held", {})
     if key not in held:
+        held.clear()
         held[key] = make()
     return held[key]

@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 
 #: Pieces in the younger half of a worker's memory; the older half holds as many at most.
-CACHE = 700_000
+CACHE = 150_000
 #: A space with white space beside it belongs to that run, so a text may not be cut there.
 _RUN = re.compile(r" \s|\s ")
 _PLAIN = re.compile(r" ?\S+")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import small_batches
+from millrace.llm._common import per_worker, small_batches
 
 #: Labelled rows that training takes at most, and lines of each of them that training reads.
 #: Decoding reads every line of every row.
@@ -52,7 +52,7 @@ class Base(NamedTuple):
 
 class _WordIds(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 150_000:
             self.clear()  # ids are hashes, so a new start changes nothing
         self[word] = out = zlib.crc32(word) | zlib.adler32(word[::-1]) << 32
         return out
@@ -235,7 +235,7 @@ SCHEMA = (
 
 def _judge(crf: Crf | None, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _WordIds()
+        ids = per_worker(("line words",), _WordIds)
         for b in batches:
             texts = b.column("_text").to_pylist()
             stats = [base_stats(x, ids) for x in texts]

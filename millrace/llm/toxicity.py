@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import small_batches
+from millrace.llm._common import per_worker, small_batches
 
 #: Labelled rows that the models are fitted on at most, taken by a hash of their identifiers.
 TRAIN_ROWS = 20_000
@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def _score(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        calls: dict[str, tuple[str, ...]] = {}
+        calls: dict[str, tuple[str, ...]] = per_worker(("voters", tuple(sorted(model.weight.items()))), dict)
         for b in batches:
             out = []
             for text in b.column("_text").to_pylist():
@@ -162,7 +162,7 @@ def _score(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 for w in words(text):
                     c = calls.get(w)
                     if c is None:
-                        if len(calls) > 200_000:
+                        if len(calls) > 150_000:
                             calls.clear()
                         calls[w] = c = tuple(v for v in candidates(w) if v in model.weight)
                     if c:
