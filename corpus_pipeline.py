@@ -48,8 +48,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each component of 5-word-shingle Jaccard 0.8 or more, the smallest doc_id stays."""
     _start(spark)
     found = jaccard_components(docs, words=5, percent=80)
-    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_drop")).distinct()
-    out = docs.join(drop, docs["doc_id"].eqNullSafe(F.col("_drop")), "left_anti")
+    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__mr_drop")).distinct()
+    out = docs.join(drop, docs["doc_id"].eqNullSafe(F.col("__mr_drop")), "left_anti")
     _end()
     return out
 
