@@ -75,14 +75,14 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     identifiers of dropped rows, which are few, so unique texts need no digest lookup.
     """
     verdict = exact_dedup(docs, id_col, text_col, keep)
-    repeated = verdict.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"), F.max("kept").alias("_kept"))
-    bad = materialize(repeated.where((F.col("_n") > 1) | ~F.col("_kept")).select(F.col(id_col).alias("_bad"), "_kept"), "dedup-dropped")
-    clean = docs.join(bad.select("_bad"), docs[id_col].eqNullSafe(F.col("_bad")), "left_anti")
-    again = bad.where("_kept").select("_bad")
+    repeated = verdict.groupBy(id_col).agg(F.count(F.lit(1)).alias("__mr_n"), F.max("kept").alias("__mr_kept"))
+    bad = materialize(repeated.where((F.col("__mr_n") > 1) | ~F.col("__mr_kept")).select(F.col(id_col).alias("__mr_bad"), "__mr_kept"), "dedup-dropped")
+    clean = docs.join(bad.select("__mr_bad"), docs[id_col].eqNullSafe(F.col("__mr_bad")), "left_anti")
+    again = bad.where("__mr_kept").select("__mr_bad")
     if again.isEmpty():
         return clean
-    one = docs.join(again, docs[id_col].eqNullSafe(F.col("_bad")), "left_semi")
-    wanted = verdict.where("kept").select(F.col(id_col).alias("_kid"), F.col("text_sha256").alias("_ksha")).distinct()
+    one = docs.join(again, docs[id_col].eqNullSafe(F.col("__mr_bad")), "left_semi")
+    wanted = verdict.where("kept").select(F.col(id_col).alias("__mr_kid"), F.col("text_sha256").alias("__mr_ksha")).distinct()
     sha = F.sha2(text_or_empty(text_col), 256)
-    one = one.withColumn("_sha", sha).join(wanted, F.col(id_col).eqNullSafe(F.col("_kid")) & (F.col("_sha") == F.col("_ksha")), "left_semi")
-    return clean.unionByName(one.dropDuplicates([id_col, "_sha"]).select(*docs.columns))
+    one = one.withColumn("__mr_sha", sha).join(wanted, F.col(id_col).eqNullSafe(F.col("__mr_kid")) & (F.col("__mr_sha") == F.col("__mr_ksha")), "left_semi")
+    return clean.unionByName(one.dropDuplicates([id_col, "__mr_sha"]).select(*docs.columns))

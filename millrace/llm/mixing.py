@@ -155,7 +155,7 @@ def mix_sources(
 def repeat_rows(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The input's rows, each as often as mix says; its columns are unchanged. Rows with the same
     identifier (null is one too) share the mean of their copies, rounded."""
-    many = mix.groupBy(F.col(id_col).alias("_id")).agg(F.round(F.avg("copies")).cast("int").alias("_copies")).where("_copies > 0")
-    return docs.join(many, docs[id_col].eqNullSafe(F.col("_id"))).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    many = mix.groupBy(F.col(id_col).alias("__mr_id")).agg(F.round(F.avg("copies")).cast("int").alias("__mr_copies")).where("__mr_copies > 0")
+    return docs.join(many, docs[id_col].eqNullSafe(F.col("__mr_id"))).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__mr_copies"))).alias("__mr_copy")).drop("__mr_copy")
 
 
