@@ -73,7 +73,7 @@ def rfc822(x: Column) -> Column:
 def card_date(x: Column, as_of: Column) -> Column:
     """A day and month without year: this year, or last year if that is over two days ahead."""
     day = _number(x, r"(\d{1,2})")
-    month = F.locate(F.lower(F.left(F.regexp_extract(x, r"([A-Za-z]{3,})", 1), F.lit(3))), F.lit("janfebmaraprmayjunjulaugsepoctnovdec"))
+    month = F.position(F.lower(F.left(F.regexp_extract(x, r"([A-Za-z]{3,})", 1), F.lit(3))), F.lit("janfebmaraprmayjunjulaugsepoctnovdec"))
     m = F.when((month > 0) & (month % 3 == 1), ((month + 2) / 3).cast("int"))
     here = F.try_make_timestamp(F.year(as_of), m, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")
     before = F.try_make_timestamp(F.year(as_of) - 1, m, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")

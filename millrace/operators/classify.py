@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.lexicon import Lexicon
+from millrace.lexicon import Lexicon, SubCategory
 
 #: Case-insensitive and Unicode-aware; only \n ends a line for the dot.
 FLAGS = "(?iuUd)"
@@ -25,6 +27,10 @@ def _fields(title: Column, skills: Column, description: Column, lexicon: Lexicon
     return {"title": F.coalesce(title, none), "skills": F.coalesce(skills, none), "description": F.left(F.coalesce(description, none), F.lit(lexicon.scan_chars))}
 
 
+def _all_like(values: Column, pattern: str) -> Column:
+    return F.forall(values, lambda m: m.rlike(pattern))
+
+
 def veto(title: Column, skills: Column, lexicon: Lexicon) -> Column:
     """The first veto phrase in title or skills, as written, else ""."""
     if not lexicon.veto:
@@ -32,6 +38,11 @@ def veto(title: Column, skills: Column, lexicon: Lexicon) -> Column:
     return F.regexp_extract(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(skills, F.lit(""))), FLAGS + f"({lexicon.veto})", 1)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _best(rows: Column) -> Column:
     """The first of an array of structs in their natural order, null if there is none."""
     return F.try_element_at(F.array_sort(rows), F.lit(1))
@@ -39,39 +50,47 @@ def _best(rows: Column) -> Column:
 
 def sub_category(title: Column, skills: Column, description: Column, lexicon: Lexicon) -> Column:
     """struct(category, name, basis) or null: by title, else by strong keywords, weak ones break ties."""
+    kind = "struct<category:string,name:string,basis:string>"
     if not lexicon.subcategories:
-        return F.lit(None).cast("struct<category:string,name:string,basis:string>")
+        return F.lit(None).cast(kind)
     f = _fields(title, skills, description, lexicon)
-    by_title = F.array(*[
-        F.struct((-hits(f["title"], s.titles)).alias("h"), F.lit(0).alias("w"), F.lit(i).alias("i"), F.lit(s.category).alias("category"), F.lit(s.name).alias("name"))
-        for i, s in enumerate(lexicon.subcategories)
-    ])
     rest = F.concat(f["skills"], F.lit(" \n "), f["description"])
-    by_skill = F.array(*[
-        F.struct((-hits(rest, s.strong)).alias("h"), (-hits(rest, s.weak)).alias("w"), F.lit(i).alias("i"), F.lit(s.category).alias("category"), F.lit(s.name).alias("name"))
-        for i, s in enumerate(lexicon.subcategories)
-    ])
-    first = _best(F.filter(by_title, lambda x: x["h"] < 0))
-    second = _best(F.filter(by_skill, lambda x: x["h"] <= -lexicon.least_strong))
-    named = lambda x, basis: F.struct(x["category"].alias("category"), x["name"].alias("name"), F.lit(basis).alias("basis"))
-    return F.when(first.isNotNull(), named(first, "title")).when(second.isNotNull(), named(second, "skills"))
+
+    def ranked(count: Callable[[SubCategory], Column], tie: Callable[[SubCategory], Column]) -> Column:
+        return F.array(*[
+            F.struct((-count(s)).alias("h"), (-tie(s)).alias("w"), F.lit(i).alias("i"), F.lit(s.category).alias("category"), F.lit(s.name).alias("name"))
+            for i, s in enumerate(lexicon.subcategories)
+        ])
+
+    def named(rows: Column, basis: str) -> Column:
+        return _let(_best(rows), lambda x: F.when(x.isNotNull(), F.struct(x["category"].alias("category"), x["name"].alias("name"), F.lit(basis).alias("basis"))))
+
+    first = named(F.filter(ranked(lambda s: hits(f["title"], s.titles), lambda s: F.lit(0)), lambda x: x["h"] < 0), "title")
+    second = named(F.filter(ranked(lambda s: hits(rest, s.strong), lambda s: hits(rest, s.weak)), lambda x: x["h"] <= -lexicon.least_strong), "skills")
+    return F.coalesce(first, second)
 
 
 def family_rows(title: Column, skills: Column, description: Column, lexicon: Lexicon) -> Column:
     """array<struct(score negated, place, name, fields, generic)> of the families that are kept."""
     f = _fields(title, skills, description, lexicon)
     context = f["title"].rlike(FLAGS + lexicon.context) if lexicon.context else F.lit(True)
-    rows = []
-    for i, fam in enumerate(lexicon.families):
-        found = {name: matches(f[name], fam.pattern) for name, _ in lexicon.weights}
-        score = sum((F.size(found[name]) * w for name, w in lexicon.weights), F.lit(0))
-        fields = F.filter(F.array(*[F.when(F.size(found[n]) > 0, F.lit(n)) for n, _ in lexicon.weights]), lambda x: x.isNotNull())
+    found = F.array(*[F.struct(*[matches(f[n], fam.pattern).alias(n) for n, _ in lexicon.weights]) for fam in lexicon.families])
+    fixed = F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(x.name).alias("name"), F.lit(x.least).alias("least"), F.lit(x.needs_title_or_skills).alias("strict"), F.lit(x.generic).cast("string").alias("like"))
+        for i, x in enumerate(lexicon.families)
+    ])
+
+    def scored(m: Column, x: Column) -> Column:
+        score = sum((F.size(m[n]) * w for n, w in lexicon.weights), F.lit(0))
+        fields = F.filter(F.array(*[F.when(F.size(m[n]) > 0, F.lit(n)) for n, _ in lexicon.weights]), lambda v: v.isNotNull())
+        everything = F.flatten(F.array(*[m[n] for n, _ in lexicon.weights]))
         generic = F.lit(False)
-        if fam.generic:
-            generic = F.forall(F.flatten(F.array(*found.values())), lambda m, p=fam.generic: m.rlike(FLAGS + p))
-        rows.append(F.struct((-score).alias("score"), F.lit(i).alias("place"), F.lit(fam.name).alias("name"), fields.alias("fields"), generic.alias("generic"), F.lit(fam.least).alias("least"), F.lit(fam.needs_title_or_skills).alias("strict")))
+        for p in sorted({x.generic for x in lexicon.families if x.generic}):
+            generic = F.when(x["like"] == p, _all_like(everything, FLAGS + p)).otherwise(generic)
+        return F.struct((-score).alias("score"), x["place"].alias("place"), x["name"].alias("name"), fields.alias("fields"), generic.alias("generic"), x["least"].alias("least"), x["strict"].alias("strict"))
+
     kept = lambda x: (-x["score"] >= x["least"]) & ~(x["strict"] & (x["fields"] == F.array(F.lit("description")))) & (~x["generic"] | context)
-    return F.array_sort(F.filter(F.array(*rows), kept))
+    return F.array_sort(F.filter(F.zip_with(found, fixed, scored), kept))
 
 
 def classify(title: Column, skills: Column, description: Column, lexicon: Lexicon) -> Column:
@@ -80,27 +99,36 @@ def classify(title: Column, skills: Column, description: Column, lexicon: Lexico
     A veto ends it. The family with the highest score wins, precedence breaks ties. A sub-category
     that is found gives the category even where the family disagrees; a coarse family without one
     keeps its own name as category, a blank sub-category and needs review; any other family is
-    its own sub-category. Null fields are empty.
+    its own sub-category. Null fields are empty. Each pattern is matched once a row.
     """
-    blocked = veto(title, skills, lexicon)
-    rows = family_rows(title, skills, description, lexicon)
-    winner, sub = _best(rows), sub_category(title, skills, description, lexicon)
-    none, score = F.lit(""), -winner["score"]
-    in_scope = (blocked == "") & winner.isNotNull()
-    coarse = winner["name"].isin(*lexicon.coarse) if lexicon.coarse else F.lit(False)
-    when = lambda x: F.when(in_scope, x).otherwise(none)
-    other = F.coalesce(title, none).rlike(FLAGS + lexicon.other_profession) if lexicon.other_profession else F.lit(False)
-    review = other | winner["generic"] | (sub.isNull() & coarse)
-    return F.struct(
-        in_scope.alias("in_scope"),
-        when(F.coalesce(sub["category"], F.when(coarse, winner["name"]).otherwise(F.lit(lexicon.default_category)))).alias("category"),
-        when(F.coalesce(sub["name"], F.when(coarse, none).otherwise(winner["name"]))).alias("sub_category"),
-        when(F.coalesce(sub["basis"], F.when(coarse, none).otherwise(F.lit("family")))).alias("sub_category_basis"),
-        when(winner["name"]).alias("role_family"),
-        (in_scope & F.coalesce(review, F.lit(False))).alias("needs_review"),
-        blocked.alias("vetoed_by"),
-        when(F.array_join(F.transform(rows, lambda x: x["name"]), "|")).alias("all_families"),
-        when(F.array_join(F.transform(rows, lambda x: F.concat_ws("=", x["name"], (-x["score"]).cast("string"))), ";")).alias("family_scores"),
-        when(F.when(score >= 5, "high").when(score >= 3, "medium").otherwise("low")).alias("family_confidence"),
-        when(F.array_join(winner["fields"], "|")).alias("matched_in"),
-    )
+    other = F.coalesce(title, F.lit("")).rlike(FLAGS + lexicon.other_profession) if lexicon.other_profession else F.lit(False)
+    families = _let(veto(title, skills, lexicon), lambda v: F.struct(v.alias("blocked"), F.when(v == "", family_rows(title, skills, description, lexicon)).alias("rows")))
+    kind = "struct<category:string,name:string,basis:string>"
+
+    def parts(x: Column) -> Column:
+        found = F.coalesce(F.size(x["rows"]) > 0, F.lit(False))
+        return F.struct(
+            x["blocked"].alias("blocked"), x["rows"].alias("rows"), F.try_element_at(x["rows"], F.lit(1)).alias("winner"),
+            F.when(found, sub_category(title, skills, description, lexicon)).otherwise(F.lit(None).cast(kind)).alias("sub"), (found & other).alias("other"), found.alias("in_scope"),
+        )
+
+    def verdict(x: Column) -> Column:
+        none, winner, sub, score = F.lit(""), x["winner"], x["sub"], -x["winner"]["score"]
+        coarse = winner["name"].isin(*lexicon.coarse) if lexicon.coarse else F.lit(False)
+        when = lambda y: F.when(x["in_scope"], y).otherwise(none)
+        review = x["other"] | winner["generic"] | (sub.isNull() & coarse)
+        return F.struct(
+            x["in_scope"].alias("in_scope"),
+            when(F.coalesce(sub["category"], F.when(coarse, winner["name"]).otherwise(F.lit(lexicon.default_category)))).alias("category"),
+            when(F.coalesce(sub["name"], F.when(coarse, none).otherwise(winner["name"]))).alias("sub_category"),
+            when(F.coalesce(sub["basis"], F.when(coarse, none).otherwise(F.lit("family")))).alias("sub_category_basis"),
+            when(winner["name"]).alias("role_family"),
+            (x["in_scope"] & F.coalesce(review, F.lit(False))).alias("needs_review"),
+            x["blocked"].alias("vetoed_by"),
+            when(F.array_join(F.transform(x["rows"], lambda r: r["name"]), "|")).alias("all_families"),
+            when(F.array_join(F.transform(x["rows"], lambda r: F.concat_ws("=", r["name"], (-r["score"]).cast("string"))), ";")).alias("family_scores"),
+            when(F.when(score >= 5, "high").when(score >= 3, "medium").otherwise("low")).alias("family_confidence"),
+            when(F.array_join(winner["fields"], "|")).alias("matched_in"),
+        )
+
+    return _let(_let(families, parts), verdict)

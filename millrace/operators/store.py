@@ -93,7 +93,7 @@ def overlay(store: DataFrame, detail: DataFrame, column: str, key: tuple[str, ..
 
 def touch(store: DataFrame, listing: DataFrame, today: str, key: tuple[str, ...] = KEY) -> DataFrame:
     """last_seen is today for rows whose key is in the listing."""
-    return marked(store, listing, "_live", key).withColumn("last_seen", F.when("_live", F.lit(today)).otherwise(F.col("last_seen"))).select(*store.columns)
+    return marked(store, listing, "_live", key).withColumn("last_seen", F.when(F.col("_live"), F.lit(today)).otherwise(F.col("last_seen"))).select(*store.columns)
 
 
 def union_with_provenance(feeds: DataFrame, key: str = "job_id", seq: str = "seq", label: str = "feed") -> DataFrame:
