@@ -74,8 +74,9 @@ def filter_urls(
     pages: DataFrame,
     labels: DataFrame,
     rules: Sequence[tuple[str, str, str]] = RULES,
-    min_support: float = 0.002,
-    min_confidence: float = 0.6,
+    min_support: float = 0.005,
+    min_confidence: float = 0.8,
+    min_rows: int = 10,
     id_col: str = "page_id",
     url_col: str = "url",
 ) -> DataFrame:
@@ -83,7 +84,8 @@ def filter_urls(
 
     A given rule fits its host and all subdomains where the path starts with the rule's.
     Mined rules come from FP-growth over the token sets of labelled URLs (labels.doc_id is the
-    page's identifier; bad is quality 0 or toxic 1), pruned by support and confidence. They are
+    page's identifier; bad is quality 0 or toxic 1), pruned by support (min_support of the
+    labelled rows and min_rows of them at least) and confidence. They are
     an inverted index: a URL's distinct tokens join the rules' tokens, and a rule whose tokens
     are all found blocks. URLs without any match are allowed. Distinct URLs are matched once, so
     a frequent one costs no more.
@@ -106,9 +108,10 @@ def filter_urls(
     baskets = materialize(baskets, "url-baskets")
     out = [F.col("_id").alias(id_col), "host", "path", "rule", "verdict"]
     allowed = F.coalesce("_given", F.lit("allow")).alias("verdict")
-    if baskets.isEmpty():
+    labelled = baskets.count()
+    if labelled < min_rows:
         return rows.withColumn("verdict", allowed).select(*out)
-    mined = materialize(mine(baskets, min_support, min_confidence), "url-rules")
+    mined = materialize(mine(baskets, max(min_support, min_rows / labelled), min_confidence), "url-rules")
     n = mined.count()
     if n > MAX_RULES:
         raise ValueError(f"{n} rules; raise min_support or min_confidence")
