@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.text import clean_text
+
 
 def iso_date(x: Column) -> Column:
     """A leading YYYY-MM-DD as text, not checked against the calendar; "" without one."""
@@ -109,3 +111,57 @@ def cutoff(newest: Column, as_of: Column, grace: int = 2, window: int | None = 7
         return F.lit(since).cast("date")
     first = F.date_sub(as_of, window) if window is not None else F.lit(None).cast("date")
     return F.coalesce(F.date_sub(newest, grace), first)
+
+
+#: The months.
+_MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+_HUMAN = r"(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
+#: Fixed pattern: day, month, year and what marks a Hijri year.
+_TOKEN = r"(?i)\b(\d{1,2})\s*[/\-.]\s*(\d{1,2})\s*[/\-.]\s*(1[34]\d{2}|20\d{2})\s*(AH|H\b|هـ)?"
+
+
+def _day(year: Column, month: Column, day: Column) -> Column:
+    return F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+
+
+def human_date(x: Column) -> Column:
+    """`27 August 2026` as text YYYY-MM-DD, not checked against the calendar; "" without one."""
+    t = clean_text(x)
+    d, m, y = (F.regexp_extract(t, _HUMAN, i) for i in (1, 2, 3))
+    month = F.array_position(F.array(*[F.lit(n) for n in _MONTHS]), F.lower(m))
+    return F.when(month > 0, F.concat_ws("-", y, F.lpad(month.cast("string"), 2, "0"), F.lpad(d, 2, "0"))).otherwise(F.lit(""))
+
+
+def page_date(x: Column) -> Column:
+    """Day of `27 August 2026`; null if the calendar has none."""
+    return F.try_to_timestamp(F.nullif(human_date(x), F.lit("")), F.lit("yyyy-MM-dd")).cast("date")
+
+
+def slug_date(x: Column) -> Column:
+    """Day of a 20YY-M-D inside a URL."""
+    y, m, d = (F.regexp_extract(F.coalesce(x, F.lit("")), r"(20\d{2})-(\d{1,2})-(\d{1,2})", i).try_cast("int") for i in (1, 2, 3))
+    return _day(y, m, d)
+
+
+def token_date(x: Column) -> Column:
+    """Day of one d/m/y; Hijri by its mark or by a year from 1300 to 1499."""
+    d, m, y = (F.regexp_extract(x, _TOKEN, i).try_cast("int") for i in (1, 2, 3))
+    marked = F.regexp_extract(x, _TOKEN, 4) != ""
+    return F.when(marked & ~y.between(1300, 1600), None).when(marked | (y < 1500), hijri(y, m, d)).otherwise(_day(y, m, d))
+
+
+def application_window(x: Column) -> Column:
+    """struct(opens, closes, snippet): the first two days that a text names, swapped if reversed, and
+    up to 240 characters around them; null days and "" without any."""
+    body = clean_text(x)
+    # the text between the tokens gives their places
+    between, tokens = F.split(body, _TOKEN), F.regexp_extract_all(body, F.lit(_TOKEN), F.lit(0))
+    length = lambda parts, n: F.aggregate(F.slice(parts, 1, n), F.lit(0), lambda a, p: a + F.length(p))
+    placed = F.transform(tokens, lambda t, i: F.struct(token_date(t).alias("day"), (length(between, i + 1) + length(tokens, i)).alias("start"), (length(between, i + 1) + length(tokens, i + 1)).alias("end")))
+    known = F.filter(placed, lambda p: p["day"].isNotNull())
+    one, two, last = F.try_element_at(known, F.lit(1)), F.try_element_at(known, F.lit(2)), F.try_element_at(known, F.lit(-1))
+    start = F.greatest(one["start"] - 90, F.lit(0))
+    snippet = F.left(F.trim(F.substring(body, start + 1, last["end"] + 20 - start)), F.lit(240))
+    opens = F.when(two["day"] < one["day"], two["day"]).otherwise(one["day"])
+    closes = F.when(two["day"] < one["day"], one["day"]).otherwise(two["day"])
+    return F.struct(opens.alias("opens"), closes.alias("closes"), F.coalesce(snippet, F.lit("")).alias("snippet"))

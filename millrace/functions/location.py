@@ -60,6 +60,28 @@ def locality(x: Column, states: tuple[str, ...], countries: tuple[str, ...]) ->
     )
 
 
+def first_city(x: Column, countries: dict[str, str], home: str = "India") -> Column:
+    """struct(city, country) of a list of cities: its first; a bare country is a city of that name;
+    no country is home. countries: names by lower-cased name."""
+    whole = F.trim(F.coalesce(x, F.lit("")))
+    first = F.trim(F.regexp_replace(F.trim(F.split(whole, ",")[0]), r"(?i)\s*\(all areas\)\s*$", ""))
+    bare, named = lookup(F.lower(first), countries), lookup(F.lower(whole), countries)
+    country = F.coalesce(named, bare, F.lit(home))
+    return F.struct(F.coalesce(F.when(bare.isNotNull(), country), first).alias("city"), country.alias("country"))
+
+
+def split_location(x: Column, countries: tuple[str, ...], aliases: dict[str, str], stations: dict[str, str]) -> Column:
+    """struct(city, country, remote) of parts between |: the first that is no country is the city;
+    a city alone takes its station's country, never a guess."""
+    parts = F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), r"\|"), clean_text), lambda p: p != "")
+    away = lambda p: F.lower(p).rlike("^remote|home[ -]based")
+    named = F.transform(F.filter(parts, lambda p: ~away(p)), lambda p: F.struct(p.alias("part"), F.coalesce(lookup(p, aliases), p).alias("name")))
+    is_country = lambda n: n["name"].isin(*countries)
+    city_name = F.coalesce(F.try_element_at(F.filter(named, lambda n: ~is_country(n)), F.lit(1))["part"], F.lit(""))
+    country = F.try_element_at(F.filter(named, is_country), F.lit(1))["name"]
+    return F.struct(city_name.alias("city"), F.coalesce(country, lookup(city_name, stations), F.lit("")).alias("country"), F.exists(parts, away).alias("remote"))
+
+
 def job_type(time_type: Column, remote: Column) -> Column:
     return F.when(remote, "remote").when(F.lower(clean_text(time_type)).contains("part"), "part_time").otherwise("full_time")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.text import clean_text
+
 _TOKEN = r"\d[\d,]*(?:\.\d+)?"
 
 
@@ -87,3 +89,47 @@ def export_block(low: Column, high: Column, currency: Column, period: Column) ->
     ok = low.isNotNull() & currency.isin("INR", "USD") & (F.coalesce(period, F.lit("")) != "")
     cols = (("min_salary", low), ("max_salary", F.coalesce(high, low)), ("salary_period", period), ("salary_currency", currency))
     return [F.when(ok, c.cast("string")).otherwise(F.lit("Not Disclosed" if n == "min_salary" else "")).alias(n) for n, c in cols]
+
+
+#: Units of a displayed salary, the first that occurs counts.
+_UNITS = (("annum|year", "per_annum"), ("month", "per_month"), ("hour", "per_hour"), ("day", "per_day"), ("week", "per_week"))
+#: Currency codes and signs, in the order in which they are looked for.
+_CODES = ("AED", "SAR", "QAR", "KWD", "OMR", "BHD", "USD", "EGP", "JOD", "LBP", "IQD", "MAD", "GBP", "EUR", "INR")
+_SIGNS = (("$", "USD"), ("£", "GBP"), ("€", "EUR"))
+
+
+def _salary(raw: Column, low: Column, high: Column, currency: Column, period: Column, known: Column) -> Column:
+    whole = lambda v: F.when(known, F.bround(v).cast("long"))
+    shown = lambda v: F.coalesce(F.when(known, v), F.lit(""))
+    return F.struct(raw.alias("raw"), whole(F.least(low, high)).alias("low"), whole(F.greatest(low, high)).alias("high"), shown(currency).alias("currency"), shown(period).alias("period"))
+
+
+def display_salary(x: Column) -> Column:
+    """struct(raw, low, high, currency, period) of a displayed salary: its first two numbers per
+    stated unit; without number or unit only raw. Pounds only by their sign."""
+    raw = F.trim(F.coalesce(x, F.lit("")))
+    a, unit = amounts(raw), F.coalesce(*[F.when(F.lower(raw).rlike(p), F.lit(u)) for p, u in _UNITS])
+    first = F.try_element_at(a, F.lit(1))
+    second = F.coalesce(F.try_element_at(a, F.lit(2)), first)
+    return _salary(F.when(raw == "", "Not Disclosed").otherwise(raw), first, second, F.when(raw.contains("£"), "GBP"), unit, first.isNotNull() & unit.isNotNull())
+
+
+def salary_text(x: Column) -> Column:
+    """struct(raw, low, high, currency, period) of a monthly salary: least and largest positive
+    number; currency by code, else by sign; null where nothing is disclosed."""
+    raw = clean_text(x)
+    found = F.transform(F.regexp_extract_all(raw, F.lit(r"\d[\d,.]*"), F.lit(0)), lambda t: F.bround(F.replace(t, F.lit(","), F.lit("")).try_cast("double")))
+    a = F.filter(found, lambda v: v > 0)
+    code = F.coalesce(*[F.when(F.upper(raw).rlike(rf"(?U)\b{c}\b"), c) for c in _CODES], *[F.when(raw.contains(s), c) for s, c in _SIGNS])
+    told = ~F.lower(raw).isin("", "not specified", "not disclosed", "unspecified", "negotiable", "n/a")
+    return F.when(told & (F.size(a) > 0), _salary(raw, F.array_min(a), F.array_max(a), code, F.lit("per_month"), F.lit(True)))
+
+
+def pay_range(x: Column) -> Column:
+    """struct(raw, low, high, currency, period) of a yearly range in dollars that a description
+    states; under 10,000 only raw, null without one."""
+    pattern = r"(?iU)(?:pay|salary|compensation)\s+range[^$\n]{0,80}?\$\s*([\d,]+(?:\.\d+)?)\s*(?:-|–|—|\bto\b)\s*\$?\s*([\d,]+(?:\.\d+)?)"
+    t = clean_text(x)
+    raw = F.regexp_extract(t, pattern, 0)
+    low, high = (F.replace(F.regexp_extract(t, pattern, i), F.lit(","), F.lit("")).try_cast("double") for i in (1, 2))
+    return F.when(raw != "", _salary(F.left(raw, F.lit(120)), F.floor(low), F.floor(high), F.lit("USD"), F.lit("per_annum"), F.least(low, high) >= 10000))

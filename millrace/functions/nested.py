@@ -51,3 +51,19 @@ def embedded_json(html: Column, element_id: str = "__NEXT_DATA__") -> Column:
 def joined_set(values: Column, separator: str = "; ") -> Column:
     """Distinct values that aren't blank, sorted and joined."""
     return F.array_join(F.array_sort(F.filter(F.array_distinct(values), lambda v: F.trim(v) != "")), separator)
+
+
+def routed(values: Column, vocabularies: dict[str, tuple[str, ...]], rest: str, skip: Column | None = None) -> Column:
+    """A struct of arrays: each value that isn't blank or `skip` goes to the first closed vocabulary
+    that holds it, what none holds to `rest`."""
+    v = F.filter(F.transform(values, lambda x: F.trim(x)), lambda x: (x != "") & (~x.eqNullSafe(F.trim(skip)) if skip is not None else F.lit(True)))
+    route = lambda x: F.coalesce(*[F.when(x.isin(*words), F.lit(name)) for name, words in vocabularies.items()], F.lit(rest))
+    to = lambda name: F.filter(v, lambda x: route(x) == name).alias(name)
+    return F.struct(*[to(name) for name in (*vocabularies, rest)])
+
+
+def labels_of(ids: Column, names: dict[str, str], separator: str = ", ") -> Column:
+    """Names of identifiers, sorted and joined; an unknown identifier stands for itself."""
+    table = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else F.create_map().cast("map<string,string>")
+    known = F.transform(ids, lambda i: F.coalesce(F.try_element_at(table, i.cast("string")), i.cast("string")))
+    return F.array_join(F.array_sort(known), separator)

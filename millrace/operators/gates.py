@@ -44,3 +44,8 @@ def disposition(order: list[tuple[str, Column]]) -> Column:
     for name, stops in reversed(order):
         out = F.when(stops, F.lit(name)).otherwise(out)
     return out
+
+
+def loose_cutoff(cutoff: Column, margin: int) -> Column:
+    """The cutoff of a pre-filter on days that may lack their year; the exact gate follows it."""
+    return F.date_sub(cutoff, margin)

@@ -102,3 +102,22 @@ def union_with_provenance(feeds: DataFrame, key: str = "job_id", seq: str = "seq
     labels = F.transform(F.array_sort(F.collect_set(F.struct(seq, label))), lambda x: x[label])
     out = feeds.groupBy(key).agg(F.min_by(row, seq).alias("_row"), F.array_distinct(labels).alias("feeds"))
     return out.select("_row.*", F.array_join("feeds", "; ").alias("feeds"))
+
+
+def first_known(df: DataFrame, key: Column, seq: str, columns: tuple[str, ...]) -> DataFrame:
+    """One row per key, the first by seq; the named columns take their first value in that order
+    that isn't blank, so later rows fill gaps and change nothing. One aggregate, no window."""
+    row = F.struct(*[F.col(c) for c in df.columns if c not in columns])
+    filled = [F.min_by(F.when(F.trim(c) != "", F.col(c)), F.when(F.trim(c) != "", F.col(seq))).alias(c) for c in columns]
+    out = df.groupBy(key.alias("_key")).agg(F.min_by(row, seq).alias("_row"), *filled)
+    return out.select("_row.*", *columns).select(*df.columns)
+
+
+def resolved(wanted: DataFrame, live: DataFrame, name: str = "name") -> DataFrame:
+    """Configured names against live ones on their normalised key: all wanted rows, with the live
+    columns or nulls where a name is missing. Of live rows with one key the largest id counts."""
+    from millrace.functions.text import norm_facet
+
+    keyed = live.where(norm_facet(F.col(name)) != "").select(norm_facet(F.col(name)).alias("_key"), *[c for c in live.columns if c != name])
+    one = keyed.groupBy("_key").agg(*[F.max_by(c, "id").alias(c) for c in keyed.columns if c != "_key"])
+    return wanted.withColumn("_key", norm_facet(F.col(name))).join(one, "_key", "left").drop("_key")

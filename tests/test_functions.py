@@ -73,3 +73,50 @@ def test_country_dimension(spark):
     df = spark.createDataFrame([("USA", ""), ("x", "na"), ("Atlantis", None)], "c string, a string")
     got = [tuple(r) for r in location.with_country(df, dim, "c", "a").select("country_name", "country_code", "country_dial_code").collect()]
     assert sorted(got) == [("Atlantis", "", ""), ("Namibia", "NA", "+264"), ("United States", "US", "+1")]
+
+
+@pytest.mark.parametrize(("f", "x", "want"), [
+    (money.display_salary, "£41,000 - £42,000 per annum", ("£41,000 - £42,000 per annum", 41000, 42000, "GBP", "per_annum")),
+    (money.display_salary, "£18.50 per hour", ("£18.50 per hour", 18, 18, "GBP", "per_hour")), (money.display_salary, "Competitive", ("Competitive", None, None, "", "")),
+    (money.display_salary, None, ("Not Disclosed", None, None, "", "")), (money.display_salary, "9 to 7", ("9 to 7", None, None, "", "")),
+    (money.salary_text, "30000 - 40000 AED", ("30000 - 40000 AED", 30000, 40000, "AED", "per_month")), (money.salary_text, "$5,000 - $4,000", ("$5,000 - $4,000", 4000, 5000, "USD", "per_month")),
+    (money.salary_text, "Not Specified", None), (money.salary_text, "AED", None), (money.salary_text, None, None),
+    (money.pay_range, "The pay range for this role is $120,000.90 - $90,000 now", ("pay range for this role is $120,000.90 - $90,000", 90000, 120000, "USD", "per_annum")),
+    (money.pay_range, "Pay range: $25.00 to $30.00", ("Pay range: $25.00 to $30.00", None, None, "", "")), (money.pay_range, "pay: $90,000", None), (money.pay_range, None, None),
+    (dates.application_window, None, (None, None, "")), (dates.application_window, "no day", (None, None, "")),
+    (dates.application_window, "from Thursday, 14/10/2023 until 05/10/2023.", (dt.date(2023, 10, 5), dt.date(2023, 10, 14), "from Thursday, 14/10/2023 until 05/10/2023.")),
+    (dates.application_window, "x 31/02/2023 y 1-3-2023", (dt.date(2023, 3, 1), None, "x 31/02/2023 y 1-3-2023")),
+    (lambda c: location.first_city(c, {"qatar": "Qatar"}), "Nashik, Pune (All Areas)", ("Nashik", "India")), (lambda c: location.first_city(c, {"qatar": "Qatar"}), "Qatar", ("Qatar", "Qatar")),
+    (lambda c: location.first_city(c, {"qatar": "Qatar"}), None, ("", "India")),
+    (lambda c: location.split_location(c, ("Pakistan",), {"PK": "Pakistan"}, {"Nairobi": "Kenya"}), "Islamabad | PK", ("Islamabad", "Pakistan", False)),
+    (lambda c: location.split_location(c, ("Pakistan",), {"PK": "Pakistan"}, {"Nairobi": "Kenya"}), "Remote | Nairobi", ("Nairobi", "Kenya", True)),
+    (lambda c: location.split_location(c, ("Pakistan",), {"PK": "Pakistan"}, {"Nairobi": "Kenya"}), None, ("", "", False)),
+    (lambda c: nested.routed(F.split(c, ","), {"kind": ("Job",), "theme": ("Health", "Job")}, "country", F.lit("Me")), "Kenya,Job,Health,Me,", (["Job"], ["Health"], ["Kenya"])),
+])
+def test_structs(spark, f, x, want):
+    got = one(spark, f, x)
+    assert (got if got is None else tuple(got)) == want
+
+
+@pytest.mark.parametrize(("f", "x", "want"), [
+    (dates.human_date, "Closes 1 September 2026", "2026-09-01"), (dates.human_date, "31 February 2026", "2026-02-31"), (dates.human_date, "1 Foo 2026", ""), (dates.human_date, None, ""),
+    (dates.page_date, "4 October 2023", dt.date(2023, 10, 4)), (dates.page_date, "31 February 2026", None), (dates.slug_date, "/ads-2023-10-4-001", dt.date(2023, 10, 4)), (dates.slug_date, "ads-201-07-13", None),
+    (dates.token_date, "10/10/1444 AH", dt.date(2023, 4, 30)), (dates.token_date, "10.10.2023", dt.date(2023, 10, 10)), (dates.token_date, "10.10.2023 H", None), (dates.token_date, None, None),
+    (text.non_english, "the work and the plan " * 20, False), (text.non_english, "der Plan und das Werk " * 20, True), (text.non_english, "работа " * 40, True), (text.non_english, "kurz", False), (text.non_english, None, False),
+    (lambda c: nested.labels_of(F.split(c, ","), {"1": "b", "2": "a"}), "1,2,9", "9, a, b"), (lambda c: nested.labels_of(F.split(c, ","), {}), "2,1", "1, 2"),
+])
+def test_later_scalars(spark, f, x, want):
+    got = one(spark, f, x)
+    assert abs((got - want).days) <= 1 if isinstance(want, dt.date) and "AH" in x else got == want
+
+
+def test_first_known_and_resolved(spark):
+    from millrace.operators import store
+
+    rows = [("A", 2, None, "late"), ("a", 1, " ", None), ("a", 3, "t", "later"), ("b", 4, None, None)]
+    df = spark.createDataFrame(rows, "slug string, seq int, title string, day string")
+    got = {(r.slug, r.seq, r.title, r.day) for r in store.first_known(df, F.lower("slug"), "seq", ("title", "day")).collect()}
+    assert got == {("a", 1, "t", "late"), ("b", 4, None, None)}
+    wanted = spark.createDataFrame([("R & D",), ("Gone",)], "name string")
+    live = spark.createDataFrame([("r and d", "x1", 3), (None, "x2", 1)], "name string, id string, count int")
+    assert {tuple(r) for r in store.resolved(wanted, live).collect()} == {("R & D", "x1", 3), ("Gone", None, None)}
