@@ -331,3 +331,49 @@ def url_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT c_custkey, CASE WHEN regexp_matches(c_name, '(?i)pharma|biotech|bio|research|clinical|cro\\b|therapeutics|life sciences') THEN 'pharma' ELSE 'hospital' END AS company_type, regexp_extract(c_name, '#(\\d+)$', 1) AS number FROM customer")
 def company_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "customer").select("c_custkey", location.company_type(F.col("c_name")).alias("company_type"), F.regexp_extract("c_name", r"#(\d+)$", 1).alias("number"))
+
+
+_CLEAN = "trim(regexp_replace(" + _ENTITIES.replace("x", "coalesce(text, '')", 1) + ", '\\s+', ' ', 'g'))"
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, {_CLEAN} AS t FROM documents),
+n AS (SELECT doc_id, length(t) AS n, len(regexp_extract_all(t, '\\p{{L}}')) AS letters, len(regexp_extract_all(t, '[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]')) AS latin,
+  regexp_extract_all(lower(left(t, 2000)), '[a-z'']+') AS words FROM t)
+SELECT doc_id, n >= 200 AND letters > 0 AND (latin < 0.7 * letters OR (len(words) >= 30 AND len(list_filter(words, lambda w: w IN {text.ENGLISH})) < 0.05 * len(words))) AS non_english FROM n""")
+def language_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", text.non_english(F.col("text")).alias("non_english"))
+
+
+@query("""
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) + 3653 AS a, CAST(o_orderdate AS DATE) + 3638 + CAST(o_orderkey % 30 AS INTEGER) AS b FROM orders)
+SELECT o_orderkey, least(a, b) AS opens, greatest(a, b) AS closes, 'open from ' || strftime(a, '%d/%m/%Y') || ' until ' || strftime(b, '%d-%m-%Y') AS snippet FROM d""")
+def application_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders")
+    a = F.date_add(F.to_date("o_orderdate"), 3653)  # ten years on: a window names years from 2000
+    b = F.date_add(a, (F.col("o_orderkey") % 30 - 15).cast("int"))
+    told = F.concat(F.lit("open from "), F.date_format(a, "dd/MM/yyyy"), F.lit(" until "), F.date_format(b, "dd-MM-yyyy"))
+    return o.select("o_orderkey", dates.application_window(told).alias("w")).select("o_orderkey", "w.opens", "w.closes", "w.snippet")
+
+
+@query("""
+WITH p AS (SELECT p_partkey, CAST(p_size AS BIGINT) * 1000 AS a, CAST(p_partkey % 50000 AS BIGINT) AS b FROM part)
+SELECT p_partkey, CASE WHEN least(a, b) >= 10000 THEN least(a, b) END AS low, CASE WHEN least(a, b) >= 10000 THEN greatest(a, b) END AS high FROM p""")
+def pay_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "part")
+    told = F.concat(F.lit("Salary range is $"), (F.col("p_size").cast("long") * 1000).cast("string"), F.lit(" - $"), (F.col("p_partkey") % 50000).cast("string"))
+    return p.select("p_partkey", money.pay_range(told).alias("s")).select("p_partkey", "s.low", "s.high")
+
+
+@query("""
+SELECT user_id, min(event_id) AS seq, arg_min(event_type, event_id) FILTER (WHERE event_id % 3 = 0) AS label FROM events GROUP BY user_id""")
+def first_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), F.when(F.col("event_id") % 3 == 0, F.col("event_type")).otherwise(F.lit(" ")).alias("label"))
+    return store.first_known(e, F.col("user_id"), "seq", ("label",))
+
+
+@query("""
+SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS languages, CASE WHEN coalesce(trim(source), '') <> '' THEN 1 ELSE 0 END + CASE WHEN coalesce(lang, 'en') <> 'en' THEN 1 ELSE 0 END AS others FROM documents""")
+def routed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = nested.routed(F.array("lang", "source"), {"languages": ("en",)}, "others")
+    return _t(spark, sf_dir, "documents").select("doc_id", r.alias("r")).select("doc_id", F.size("r.languages").alias("languages"), F.size("r.others").alias("others"))
