@@ -5,17 +5,28 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
-from itertools import accumulate, chain, pairwise
+from functools import lru_cache
+from itertools import chain, pairwise
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces in the younger half of a worker's memory; the older half holds as many at most.
 CACHE = 150_000
 #: A space with white space beside it belongs to that run, so a text may not be cut there.
 _RUN = re.compile(r" \s|\s ")
 _PLAIN = re.compile(r" ?\S+")
-_LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!-&(-/:-@\[-`{-~]*")
+_LATIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+_WIDE = re.compile(r"[^\x00-\xff]")
+#: The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters for
+#: themselves, the other bytes in order for the characters from 256.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTES = {chr(b): b for b in _PRINTABLE} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
+#: Bytes of UTF-8 letters inside a word, and what stands for a word's last byte.
+_INNER = {*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)}
+_FINAL = {b: bytes([k]) for k, b in enumerate([*range(ord("a"), ord("z") + 1), *range(0x80, 0xC0)])}
 
 
 def version_digest(path: str) -> str:
@@ -45,42 +56,64 @@ class Pieces(dict):
         return [p for p in pieces if p not in back]
 
 
+def _word_bpe(vocabulary: dict[str, int]) -> Callable[[bytes], list[int]]:
+    """Byte pair merges of one word of letters, its last byte replaced by _FINAL's.
+
+    A vocabulary of words marks last symbols with </w>. Here a last byte has a value of its own, so
+    merges of bytes by rank give the same tokens: an id is 512 and the merge's place in the list.
+    """
+    import tiktoken
+
+    ranks: dict[bytes, int] = {}
+    for x, i in vocabulary.items():
+        raw = bytes(_BYTES[c] for c in x.removesuffix("</w>"))
+        word = raw[:-1] + _FINAL.get(raw[-1], b"") if x.endswith("</w>") else raw
+        if len(word) == len(raw) and all(c in _INNER for c in raw[:-1]) and (x.endswith("</w>") or raw[-1] in _INNER):
+            ranks[word] = i
+    return tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
 def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Ids (little-endian, 32 bits) of texts for a vocabulary that drops white space, lowers case and
     marks the last token of each run of letters or signs with </w>.
 
-    Texts are cut at spaces and newlines, rarer white space is left to the library. Unknown pieces
-    of Latin-1 letters with a sign behind them or none, which the normaliser would only lower, are
-    encoded in one text, and word ends tell their ids apart. Special tokens must hold no white space.
+    Texts are cut at spaces and newlines, rarer white space is left to the library; each distinct
+    piece of the batch is encoded once and nothing is kept but the library's latest pieces. Words of
+    Latin-1 letters, which the normaliser would only lower, are merged by rank; all else goes through
+    the library. Special tokens must hold no white space.
     """
     from tokenizers import Tokenizer
 
-    t, bare, known = Tokenizer.from_file(path), Tokenizer.from_file(path), Pieces()
-    bare.normalizer = None
-    vocabulary = t.get_vocab(with_added_tokens=False)
-    ends = np.zeros(max(vocabulary.values()) + 1, bool)
-    ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
-    encode = lambda x: np.array(t.encode(x, add_special_tokens=False).ids, "<u4")
+    t = Tokenizer.from_file(path)
+    merge = _word_bpe(t.get_vocab(with_added_tokens=False))
+    special = [x.content for x in t.get_added_tokens_decoder().values()]
+    library = lru_cache(CACHE)(lambda x: t.encode(x, add_special_tokens=False).ids)
 
-    def learn(new: list[str]) -> None:
-        plain = [p for p in new if _LATIN.fullmatch(p)]
-        if plain:
-            ids = np.array(bare.encode_batch_fast([" ".join(plain).lower()], add_special_tokens=False)[0].ids, "<u4")
-            raw, runs = ids.tobytes(), np.cumsum([1 if p[-1].isalpha() else 2 for p in plain])
-            cut = (4 * (np.flatnonzero(ends[ids])[runs - 1] + 1)).tolist()
-            known.update((p, raw[a:b]) for p, (a, b) in zip(plain, pairwise([0, *cut]), strict=True))
-        known.update((p, encode(p).tobytes()) for p in new if p not in known)
+    def lowered(text: str) -> str:
+        low = text if _WIDE.search(text) else text.lower()
+        return text if any(x in low for x in special) else low
+
+    def piece(p: str) -> list[int]:
+        found = _LATIN.fullmatch(p)
+        if not found:
+            return library(p) if p else []
+        word = found[1].lower().encode()
+        ids = merge(word[:-1] + _FINAL[word[-1]])
+        return ids + library(found[2]) if found[2] else ids
 
     def run(texts: list[str]) -> list[bytes]:
-        known.age()
-        parts = [x.replace("\n", " ").split(" ") for x in texts]
-        flat = list(chain.from_iterable(parts))
-        got = list(map(known.get, flat))
-        if None in got:
-            learn(known.unknown({p for p, x in zip(flat, got, strict=True) if x is None}))
-            got = [known[p] if x is None else x for p, x in zip(flat, got, strict=True)]
-        at = [0, *accumulate(map(len, parts))]
-        return [b"".join(got[a:b]) for a, b in pairwise(at)]
+        whole = pc.replace_substring(pa.array([lowered(x) for x in texts], pa.large_string()), "\n", " ")
+        parts = pc.split_pattern(whole, " ")
+        flat = parts.flatten().dictionary_encode()
+        ids = [piece(p) for p in flat.dictionary.to_pylist()]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        known, start = np.fromiter(chain.from_iterable(ids), "<u4", int(size.sum())), np.cumsum(size) - size
+        which = flat.indices.to_numpy()
+        n = size[which]
+        after = np.cumsum(n)
+        raw = known[np.repeat(start[which] - after + n, n) + np.arange(n.sum())].tobytes()
+        ends = 4 * np.append(0, after)[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        return [raw[a:b] for a, b in pairwise(ends.tolist())]
 
     return run
 
