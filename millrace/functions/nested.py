@@ -67,3 +67,11 @@ def labels_of(ids: Column, names: dict[str, str], separator: str = ", ") -> Colu
     table = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else F.create_map().cast("map<string,string>")
     known = F.transform(ids, lambda i: F.coalesce(F.try_element_at(table, i.cast("string")), i.cast("string")))
     return F.array_join(F.array_sort(known), separator)
+
+
+def places(locations: Column) -> Column:
+    """array<struct(code, city)> of JSON-LD places; UNAVAILABLE and null are blank, places without
+    either are left out."""
+    known = lambda c: F.when(F.upper(F.trim(c)) == "UNAVAILABLE", F.lit("")).otherwise(F.trim(F.coalesce(c, F.lit(""))))
+    read = F.transform(locations, lambda p: F.struct(F.upper(known(p["address"]["addressCountry"])).alias("code"), known(p["address"]["addressLocality"]).alias("city")))
+    return F.filter(read, lambda p: (p["code"] != "") | (p["city"] != ""))

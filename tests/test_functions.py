@@ -120,3 +120,31 @@ def test_first_known_and_resolved(spark):
     wanted = spark.createDataFrame([("R & D",), ("Gone",)], "name string")
     live = spark.createDataFrame([("r and d", "x1", 3), (None, "x2", 1)], "name string, id string, count int")
     assert {tuple(r) for r in store.resolved(wanted, live).collect()} == {("R & D", "x1", 3), ("Gone", None, None)}
+
+
+@pytest.mark.parametrize(("f", "x", "want"), [
+    (money.ctc_range, "13.0000-15.0000", (1300000, 1500000)), (money.ctc_range, "400000-200000", (200000, 400000)), (money.ctc_range, "0-0", None), (money.ctc_range, None, None),
+    (money.experience_in_context, "Ten days. Two posts, 9 year old. Minimum 5 to 2 years. 7 years of experience", ("Minimum 5 to 2 years.", 2, 5)),
+    (money.experience_in_context, "at least (3)+ years", ("at least (3)+ years", 3, None)), (money.experience_in_context, "experience", None), (money.experience_in_context, None, None),
+    (lambda c: text.chips(F.split(c, ",")), "Lagos,Full Time,NGN 50,Remote", ("Lagos", "Full Time", "NGN 50")), (lambda c: text.chips(F.split(c, ",")), "", ("", "", "")),
+])
+def test_more_structs(spark, f, x, want):
+    got = one(spark, f, x)
+    assert (got if got is None else tuple(got)) == want
+
+
+@pytest.mark.parametrize(("f", "x", "want"), [
+    (money.stated_minimum, "a minimum of two years, minimum 4 years", 2), (money.stated_minimum, "Minimum 10+ years", 10), (money.stated_minimum, "minimum 0 years", None), (money.stated_minimum, None, None),
+    (text.guid_id, "https://x/jobs/android-engineer-5243463048", "5243463048"), (text.guid_id, "https://x/companies/acme/jobs/nurse/", "acme/nurse"), (text.guid_id, "slug", "slug"), (text.guid_id, None, ""),
+    (lambda c: text.cut_epilogue(c, "Equal rights", 5, 20), "Long text here. We back Equal rights for all", "Long text here."), (lambda c: text.cut_epilogue(c, "Equal rights", 5, 3), "Long text here. We back Equal rights for all", "Long text here. We back"),
+    (lambda c: text.cut_epilogue(c, "Equal rights", 50), "Short. Equal rights", "Short. Equal rights"), (lambda c: text.cut_epilogue(c, "Equal rights"), None, ""),
+])
+def test_more_scalars(spark, f, x, want):
+    assert one(spark, f, x) == want
+
+
+def test_objects_and_places(spark):
+    df = spark.sql("select named_struct('type', 'Yearly', 'minAmount', 240000, 'maxAmount', 0) as a, named_struct('type', '0', 'minAmount', 0, 'maxAmount', 0) as b, "
+                   "array(named_struct('address', named_struct('addressCountry', 'in', 'addressLocality', 'UNAVAILABLE')), named_struct('address', named_struct('addressCountry', null, 'addressLocality', null))) as p")
+    r = df.select(money.object_salary(F.col("a")).alias("a"), money.object_salary(F.col("b")).alias("b"), nested.places(F.col("p")).alias("p")).first()
+    assert tuple(r.a) == (20000, 20000, "P.A") and r.b is None and [tuple(x) for x in r.p] == [("IN", "")]
