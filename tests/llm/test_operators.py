@@ -155,6 +155,21 @@ def test_pieces_equal_the_library():
             assert y == (len(ids) if isinstance(y, int) else np.array(ids, "<u4").tobytes()), x
 
 
+def test_word_merges_equal_the_library():
+    """Every token of the vocabulary as a word, joined tokens, letters at random, runs of one letter."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, r = Tokenizer.from_file(path), random.Random(3)
+    words = sorted(x.removesuffix("</w>") for x in t.get_vocab(with_added_tokens=False))
+    texts = words + [a + b for a, b in zip(r.sample(words, 9000), r.sample(words, 9000), strict=True)]
+    texts += ["".join(r.choice("etaoinshrdluéßÀÿEZ") for _ in range(r.randint(1, 30))) + r.choice(["", ".", "!?", "'", "'s"]) for _ in range(9000)]
+    texts += ["a" * 3000, "<|ENDOFTEXT|> x", "A<|startoftext|>B", "H\u0331 E\u0301", "\ufb01 \u212a \u03a3\u03a3", ""]
+    want = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert word_encoder(path)(texts) == want
+    assert word_encoder(path)([]) == []
+
+
 def test_packing_round_trip(docs, none):
     from tokenizers import Tokenizer
 
