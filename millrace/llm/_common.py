@@ -5,9 +5,10 @@ from __future__ import annotations
 import sys
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Used where no spark.checkpoint.dir is set, which only a local master allows.
 LOCAL_SHARED = "/tmp/checkpoints/millrace"
 
+#: Text that joined() hands on at a time, beside the batch that reaches it.
+BATCH_BYTES = 12_000_000
+
 _written: list[str] = []
 
 
@@ -72,6 +76,21 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def joined(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
+    """The columns' values of as many batches as reach BATCH_BYTES, for work that is done once for
+    what repeats."""
+    held, n = tuple([] for _ in columns), 0
+    for b in batches:
+        for values, c in zip(held, columns, strict=True):
+            values += b.column(c).to_pylist()
+        n += b.nbytes
+        if n >= BATCH_BYTES:
+            yield held
+            held, n = tuple([] for _ in columns), 0
+    if held[0]:
+        yield held
+
+
 def text_or_empty(text_col: str = "text") -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 

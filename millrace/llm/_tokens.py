@@ -1,4 +1,4 @@
-"""Exact token ids by library, with a cache of the pieces between which no token can lie."""
+"""Exact token ids, each distinct piece between which no token can lie encoded once a batch."""
 
 from __future__ import annotations
 
@@ -13,11 +13,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces in the younger half of a worker's memory; the older half holds as many at most.
-CACHE = 150_000
+#: Pieces that a worker remembers the library's answer for, and the characters of the longest of them.
+CACHE, LONGEST = 100_000, 64
 #: A space with white space beside it belongs to that run, so a text may not be cut there.
 _RUN = re.compile(r" \s|\s ")
-_PLAIN = re.compile(r" ?\S+")
 _LATIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 _WIDE = re.compile(r"[^\x00-\xff]")
 #: The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters for
@@ -34,28 +33,6 @@ def version_digest(path: str) -> str:
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
 
-class Pieces(dict):
-    """What is known of pieces, in two generations: what a full younger one holds becomes the older
-    one, from which a piece that is met again comes back."""
-
-    def __init__(self) -> None:
-        self.old: dict = {}
-
-    def age(self) -> None:
-        """To be called between batches."""
-        if len(self) > CACHE:
-            self.old = dict(self)
-            self.clear()
-
-    def unknown(self, pieces: set[str]) -> list[str]:
-        """Of pieces that the younger half lacks, those that must be computed; it has the others then."""
-        if not self.old:
-            return list(pieces)
-        back = {p: self.old[p] for p in pieces if p in self.old}
-        self.update(back)
-        return [p for p in pieces if p not in back]
-
-
 def _word_bpe(vocabulary: dict[str, int]) -> Callable[[bytes], list[int]]:
     """Byte pair merges of one word of letters, its last byte replaced by _FINAL's.
 
@@ -87,7 +64,9 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     t = Tokenizer.from_file(path)
     merge = _word_bpe(t.get_vocab(with_added_tokens=False))
     special = [x.content for x in t.get_added_tokens_decoder().values()]
-    library = lru_cache(CACHE)(lambda x: t.encode(x, add_special_tokens=False).ids)
+    encode = lambda x: t.encode(x, add_special_tokens=False).ids
+    short = lru_cache(CACHE)(encode)
+    library = lambda x: short(x) if len(x) <= LONGEST else encode(x)
 
     def lowered(text: str) -> str:
         low = text if _WIDE.search(text) else text.lower()
@@ -123,36 +102,51 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
 
     .json: a byte-level vocabulary, whose pieces may start with one space; a text is cut before
     each space that has no other white space beside it, which no token of such a vocabulary
-    crosses. Unknown pieces are encoded in one text, a newline after each, which is a token of its
-    own there. .model: sentencepiece, whole texts.
+    crosses. Each distinct piece of the batch is counted once: letters by merges of their bytes,
+    a single newline between two words is a token of its own, all else goes through the library.
+    .model: sentencepiece, whole texts.
     """
     if path.endswith(".model"):
         import sentencepiece
 
         p = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda texts: [len(x) for x in p.encode(texts, num_threads=1)]
+    import tiktoken
     from tokenizers import Tokenizer
 
-    t, known = Tokenizer.from_file(path), Pieces()
-    encode = lambda x: t.encode(x, add_special_tokens=False).ids
-    newline = encode("\n")
+    t = Tokenizer.from_file(path)
+    ranks = {bytes(_BYTES[c] for c in x): i for x, i in t.get_vocab(with_added_tokens=False).items() if all(c in _BYTES for c in x)}
+    merge = tiktoken.Encoding("bytes", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    size = lambda x: len(t.encode(x, add_special_tokens=False).ids)
+    short = lru_cache(CACHE)(size)
+    library = lambda x: short(x) if len(x) <= LONGEST else size(x)
+    newline = library("\n")
+
+    def piece(p: str, before: str) -> int:
+        """Tokens of a piece with `before`, a space or nothing, in front of it."""
+        found = _LATIN.fullmatch(p)
+        if found:
+            return len(merge((before + found[1]).encode())) + (library(found[2]) if found[2] else 0)
+        lines = p.split("\n")
+        if len(lines) > 1 and all(map(_LATIN.fullmatch, lines)):
+            return piece(lines[0], before) + sum(newline + piece(x, "") for x in lines[1:])
+        return library(before + p) if before or p else 0
+
+    def spaced(texts: list[str]) -> list[int]:
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        flat = parts.flatten().dictionary_encode()
+        n = np.array([piece(p, " ") for p in flat.dictionary.to_pylist()], np.int64)[flat.indices.to_numpy()]
+        sums, at = np.append(0, np.cumsum(n)), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        n_first = [piece(x.partition(" ")[0], "") for x in texts]
+        return (sums[at[1:]] - sums[at[:-1]] - n[at[:-1]] + np.array(n_first, np.int64)).tolist()
 
-    def cut(text: str) -> list[str]:
-        if not _RUN.search(text):
-            first, *rest = text.split(" ")
-            return [first, *[" " + x for x in rest]]
+    def with_runs(text: str) -> int:
         at = [0, *[m.start() for m in re.finditer(r"(?<=\S) (?=\S)", text)], len(text)]
-        return [text[a:b] for a, b in pairwise(at)]
+        return sum(piece(x[1:], " ") if x.startswith(" ") else piece(x, "") for x in (text[a:b] for a, b in pairwise(at)))
 
     def run(texts: list[str]) -> list[int]:
-        known.age()
-        parts = [cut(x) for x in texts]
-        new = known.unknown(set().union(*parts).difference(known))
-        plain = [p for p in new if _PLAIN.fullmatch(p)] if len(newline) == 1 else []
-        if plain:
-            ends = np.flatnonzero(np.array(encode("".join(f"{p}\n" for p in plain))) == newline[0])
-            known.update(zip(plain, (np.diff(ends, prepend=-1) - 1).tolist(), strict=True))
-        known.update((p, len(encode(p))) for p in new if p not in known)
-        return [sum(map(known.__getitem__, p)) for p in parts]
+        runs = [bool(_RUN.search(x)) for x in texts]
+        plain = iter(spaced([x for x, r in zip(texts, runs, strict=True) if not r]))
+        return [with_runs(x) if r else next(plain) for x, r in zip(texts, runs, strict=True)]
 
     return run

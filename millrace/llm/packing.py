@@ -12,38 +12,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialize, per_worker, small_batches, text_or_empty
+from millrace.llm._common import joined, materialize, per_worker, small_batches, text_or_empty
 from millrace.llm._tokens import word_encoder
 
 #: Tails that share one index; the memory and time of a task follow it, not the input.
 SHARD = 512
-#: Text that is encoded at a time, beside the batch that reaches it.
-BATCH_BYTES = 12_000_000
 K1, B = 1.2, 0.75
 TOKENIZED = "doc_id long, doc_tokens long, full array<long>, start long, length int, ids binary, top int"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, seq long, offset long"
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Identifiers and texts of as many batches as reach BATCH_BYTES, since a piece is encoded once in each."""
-    doc_ids, texts, n = [], [], 0
-    for b in batches:
-        doc_ids += b.column("doc_id").to_pylist()
-        texts += b.column("_text").to_pylist()
-        n += b.nbytes
-        if n >= BATCH_BYTES:
-            yield doc_ids, texts
-            doc_ids, texts, n = [], [], 0
-    if texts:
-        yield doc_ids, texts
-
-
 def _tokenize(path: str, window: int, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Each text's full windows (their checksums) and the tail behind them (its ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, stop = per_worker(("word_encoder", path), lambda: word_encoder(path)), end.to_bytes(4, "little")
-        for doc_ids, texts in _joined(batches):
+        for doc_ids, texts in joined(batches, "doc_id", "_text"):
             rows = []
             for i, ids in zip(doc_ids, encode(texts), strict=True):
                 ids += stop

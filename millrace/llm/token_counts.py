@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialize, new_path, per_worker, small_batches, text_or_empty
+from millrace.llm._common import joined, materialize, new_path, per_worker, small_batches, text_or_empty
 from millrace.llm._tokens import counter, version_digest
 
 SCHEMA = "digest string, version string, n_tokens long"
@@ -17,9 +17,9 @@ SCHEMA = "digest string, version string, n_tokens long"
 def _encode(path: str, version: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = per_worker(("counter", path), lambda: counter(path))
-        for b in batches:
-            n = count(b.column("_text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], ["digest", "version", "n_tokens"])
+        for digests, texts in joined(batches, "digest", "_text"):
+            n = count(texts)
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], ["digest", "version", "n_tokens"])
 
     return run
 
