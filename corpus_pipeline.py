@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm._common import mark, materialize, release, written_since
+from millrace.llm._common import ROW, mark, materialize, release, text_or_empty, with_row_key, written_since
 from millrace.llm.exact_dedup import drop_exact_copies
 from millrace.llm.mixing import mix_sources, repeat_rows
 from millrace.llm.ngram_jaccard import jaccard_components
@@ -45,11 +45,17 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of 5-word-shingle Jaccard 0.8 or more, the smallest doc_id stays."""
+    """Of each component of 5-word-shingle Jaccard 0.8 or more, the row with the smallest doc_id stays
+    (null is the largest; of equal ones the smallest digest of the text). Rows are told apart by a key."""
     _start(spark)
-    found = jaccard_components(docs, words=5, percent=80)
-    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__mr_drop")).distinct()
-    out = docs.join(drop, docs["doc_id"].eqNullSafe(F.col("__mr_drop")), "left_anti")
+    rows = with_row_key(docs, "near-rows")
+    found = jaccard_components(rows, words=5, percent=80, id_col=ROW)
+    others = materialize(found.where(F.col(ROW) != F.col("component_id")).select("component_id", ROW), "near-others")
+    members = others.unionByName(others.select("component_id", F.col("component_id").alias(ROW)).distinct())
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2(text_or_empty(), 256), ROW)
+    first = members.join(rows.select(ROW, order.alias("_order")), ROW).groupBy("component_id").agg(F.min("_order")[ROW].alias(ROW))
+    drop = members.select(ROW).join(first.select(ROW), ROW, "left_anti")
+    out = rows.join(drop, ROW, "left_anti").select(*docs.columns)
     _end()
     return out
 
@@ -57,7 +63,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it."""
     _start(spark)
-    out = repeat_rows(docs, mix_sources(docs))
+    rows = with_row_key(docs, "mix-rows")
+    out = repeat_rows(rows, mix_sources(rows, row_col=ROW), id_col=ROW).select(*docs.columns)
     _end()
     return out
 

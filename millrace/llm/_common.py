@@ -17,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Used where no spark.checkpoint.dir is set, which only a local master allows.
 LOCAL_SHARED = "/tmp/checkpoints/millrace"
 
+#: The column that with_row_key() adds.
+ROW = "__mr_row"
+
 #: Text that joined() hands on at a time, beside the batch that reaches it.
 BATCH_BYTES = 12_000_000
 
@@ -50,6 +53,11 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(df: DataFrame, tag: str) -> DataFrame:
+    """df with a column ROW that tells its rows apart, equal ones too; written, so that it stays the same."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), tag)
+
+
 def mark() -> int:
     """A position in the list of tables written so far, for written_since()."""
     return len(_written)

@@ -90,6 +90,7 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
     """How often each row is taken so that each source's words come near its target.
 
@@ -106,11 +107,13 @@ def mix_sources(
     Equal identifiers draw alike and stay separate rows. An empty table gives no rows. Only the
     table of sources (MAX_SOURCES at most, else an error) reaches the driver.
 
-    Returns id_col, size long, source_size long, target double, taken long, copies long, source.
+    Returns id_col, size long, source_size long, target double, taken long, copies long, source, and
+    row_col where it is given (a column that tells rows with equal identifiers apart; no draw uses it).
     """
     spark = docs.sparkSession
     small_batches(spark, 8192)
-    rows = docs.select(F.col(id_col).alias("_id"), n_words(F.col(text_col).cast("string")).alias("_size"), F.col(source_col).cast("string").alias("_source"))
+    row = [F.col(row_col).alias("_row")] if row_col else []
+    rows = docs.select(F.col(id_col).alias("_id"), n_words(F.col(text_col).cast("string")).alias("_size"), F.col(source_col).cast("string").alias("_source"), *row)
     rows = materialize(rows, "mix-sizes")
     table = rows.groupBy("_source").agg(F.sum("_size").alias("n"), F.count(F.lit(1)).alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(table) > MAX_SOURCES:
@@ -123,7 +126,7 @@ def mix_sources(
     shares = F.broadcast(spark.createDataFrame(per, schema))  # a row per source
     hashed = lambda salt: F.pmod(F.xxhash64(F.col("_id"), F.lit(seed), F.lit(salt)), F.lit(1 << 40))
     rows = rows.join(shares, F.col("_source").eqNullSafe(F.col("_s"))).select(
-        "_id", "_size", "_source", "_k", "_source_size", "_target",
+        "_id", "_size", "_source", *(["_row"] if row_col else []), "_k", "_source_size", "_target",
         F.floor("_rate").cast("long").alias("_whole"), (F.col("_rate") - F.floor("_rate")).alias("_p"),
         (hashed(1) / F.lit(float(1 << 40))).alias("_u"), (hashed(2) % F.col("_buckets")).alias("_node"),
     )
@@ -149,12 +152,14 @@ def mix_sources(
     return result.select(
         F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         (copies * F.col("_size")).alias("taken"), copies.alias("copies"), F.col("_source").alias("source"),
+        *([F.col("_row").alias(row_col)] if row_col else []),
     )
 
 
 def repeat_rows(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The input's rows, each as often as mix says; its columns are unchanged. Rows with the same
-    identifier (null is one too) share the mean of their copies, rounded."""
+    identifier (null is one too) share the mean of their copies, rounded; an id_col that tells rows
+    apart, as mix_sources' row_col, gives each row its own copies."""
     many = mix.groupBy(F.col(id_col).alias("__mr_id")).agg(F.round(F.avg("copies")).cast("int").alias("__mr_copies")).where("__mr_copies > 0")
     return docs.join(many, docs[id_col].eqNullSafe(F.col("__mr_id"))).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__mr_copies"))).alias("__mr_copy")).drop("__mr_copy")
 

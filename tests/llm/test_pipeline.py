@@ -38,3 +38,28 @@ def test_stages(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 100
+
+
+def test_rows_without_own_id(spark):
+    """Null and equal identifiers: rows are dropped and repeated each, never by their identifier."""
+    words = lambda a, n=60: " ".join(f"{a}{i}" for i in range(n))
+    near = lambda a: words(a) + " end"
+    docs = [(1, words("a")), (None, near("a")), (None, words("b")), (None, words("c")), (None, near("c"))]
+    docs += [(7, words("d")), (7, words("e")), (3, near("e")), (9, words("f")), (9, near("f")), (None, None), (None, "")]
+    frame = spark.createDataFrame([(i, x, "en", "s", 0) for i, x in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r["doc_id"], (r["text"] or "-").split(" ")[0][:1]) for r in corpus_pipeline.near_dedup_stage(spark, frame, SF).collect())
+    assert got == Counter([(1, "a"), (None, "b"), (None, "c"), (7, "d"), (3, "e"), (9, "f"), (None, "-"), (None, "-")])
+
+    from millrace.llm._common import materialize, with_row_key
+    from millrace.llm.mixing import mix_sources
+
+    rows = [(None if i % 2 else 5, words(f"x{i}_", 10 + i), "en", "ab"[i % 3 > 0], 0) for i in range(60)]
+    frame = materialize(spark.createDataFrame(rows, frame.schema), "test").coalesce(1)
+    mixed = Counter(r["text"] for r in corpus_pipeline.mixing_stage(spark, frame, SF).collect())
+    keyed = with_row_key(frame, "test-rows")
+    mix = mix_sources(keyed, row_col="__mr_row").join(keyed.select("__mr_row", "text"), "__mr_row").collect()
+    assert len(mix) == 60 and {r["text"]: r["copies"] for r in mix if r["copies"]} == dict(mixed)
+    for s in "ab":
+        mine = [r for r in mix if r["source"] == s]
+        taken = sum(len(r["text"].split()) * mixed[r["text"]] for r in mine)
+        assert abs(taken - mine[0]["target"]) < max(r["size"] for r in mine)
