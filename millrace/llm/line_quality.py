@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm._common import per_worker, small_batches
 
-#: Labelled rows that training takes at most, and lines of each of them that training reads.
-#: Decoding reads every line of every row.
+#: Labelled rows that training takes at most, with all their lines.
 TRAIN_ROWS = 4000
-TRAIN_LINES = 200
+#: Lines, padding included, of the chains that training handles side by side (one may have more).
+SIDE_BY_SIDE = 256 * 200
 SYMBOLS = b"#*$%&|<>"
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _KEEP_SYMBOLS = bytes(c for c in range(256) if c not in SYMBOLS)
@@ -91,10 +91,10 @@ def base_stats(text: bytes, ids: _WordIds) -> Base:
     return Base(len(words), chars, len(text) - len(text.translate(None, SYMBOLS)), dup, repeat_words(hashed))
 
 
-def line_features(text: bytes, limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Active features of each line that holds a word (one per measure, and the bias), and the
     code points in its words. Measures are shares of the line's characters or words."""
-    lines = [x for x in text.split(b"\n") if x.strip(_SPACES)][:limit]
+    lines = [x for x in text.split(b"\n") if x.strip(_SPACES)]
     times: dict[bytes, int] = {}
     for x in lines:
         times[x] = times.get(x, 0) + 1
@@ -155,9 +155,13 @@ def train_crf(chains: list[tuple[np.ndarray, int]], steps: int = 60, rate: float
     emit, move = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
     share = np.bincount([y for _, y in chains], minlength=2)
     groups = []
-    for low in range(0, len(chains), 256):
-        part = chains[low : low + 256]
-        t = max(len(a) for a, _ in part)
+    low = 0
+    while low < len(chains):
+        high = low + 1
+        while high < min(low + 256, len(chains)) and (high + 1 - low) * len(chains[high][0]) <= SIDE_BY_SIDE:
+            high += 1
+        part, low = chains[low:high], high
+        t = len(part[-1][0])
         at = np.zeros((len(part), t, len(EDGES) + 1), np.int64)
         real = np.zeros((len(part), t), bool)
         for i, (a, _) in enumerate(part):
@@ -216,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = [line_features(x, TRAIN_LINES)[0].astype("<u1").tobytes() for x in b.column("_text").to_pylist()]
+            at = [line_features(x)[0].astype("<u1").tobytes() for x in b.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("_y"), pa.array(at, pa.binary())], ["_y", "_at"])
 
     got = text.join(sample, F.col("_id") == F.col("_lid")).select("_y", "_text").mapInArrow(features, "_y int, _at binary").limit(2 * rows).collect()
@@ -252,7 +256,7 @@ def _judge(crf: Crf | None, least: float) -> Callable[[Iterator[pa.RecordBatch]]
 def line_quality(docs: DataFrame, labels: DataFrame, least_content: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Base rules, and the share of content by Viterbi decoding of a linear-chain CRF.
 
-    The CRF is trained on a bounded sample of labelled rows (TRAIN_ROWS, TRAIN_LINES); every line
+    The CRF is trained on a bounded sample of labelled rows (TRAIN_ROWS, all their lines); every line
     of every row is decoded. A row fails the base rules with under 10 words, or with more than
     20 % of its words in 5-word windows that occur twice or more in it. It is kept if it passes
     them and lines marked as content hold least_content of its word characters.

@@ -400,5 +400,17 @@ def test_viterbi_is_the_best_path():
     assert tuple(crf.viterbi(at)) == best
 
 
+def test_line_training_reads_whole_texts(spark):
+    r = random.Random(3)
+    prose = lambda n: ["".join(r.choice("abcdefghi ") for _ in range(40)) + " end." for _ in range(n)]
+    texts = ["\n".join(prose(230 + i) + (["### $$$ 123"] * 150 if i % 2 else [])) for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(20)], "doc_id long, quality int")
+    got = line_quality.fit(docs, labels)
+    want = line_quality.train_crf([(line_quality.line_features(x.encode())[0], 1 - i % 2) for i, x in enumerate(texts)])
+    assert np.allclose(got.emit, want.emit, atol=1e-6) and np.allclose(got.move, want.move, atol=1e-6)
+    assert not got.viterbi(line_quality.line_features(b"### $$$ 123\n" * 50)[0]).any()
+
+
 def test_pandas_is_only_a_carrier(docs):
     assert isinstance(exact_dedup.exact_dedup(docs).limit(1).toPandas(), pd.DataFrame)
