@@ -103,8 +103,11 @@ def mix_sources(
     each source has one, which a hash decides. A source misses its target by less than its
     longest document. All draws are hashes of identifiers, so reruns agree.
 
-    Size is the number of words, 0 for null or empty texts; such rows take 0 words in 0 copies.
-    Equal identifiers draw alike and stay separate rows. An empty table gives no rows. Only the
+    Size is the number of words, 0 for null or empty texts; such rows take 0 words in 0 copies. Very
+    long texts are only counted; one that is larger than all else in its source may be its miss.
+    Rows that agree in identifier (null is one), text and source are one entry, whose copies are
+    shared out evenly among them at the end; draws and buckets go by identifier and text, so no
+    identifier fills a bucket. With row_col every row is an entry. An empty table gives no rows. Only the
     table of sources (MAX_SOURCES at most, else an error) reaches the driver.
 
     Returns id_col, size long, source_size long, target double, taken long, copies long, source, and
@@ -113,8 +116,10 @@ def mix_sources(
     spark = docs.sparkSession
     small_batches(spark, 8192)
     row = [F.col(row_col).alias("_row")] if row_col else []
-    rows = docs.select(F.col(id_col).alias("_id"), n_words(F.col(text_col).cast("string")).alias("_size"), F.col(source_col).cast("string").alias("_source"), *row)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("_id"), n_words(text).alias("_size"), F.xxhash64(text).alias("_mark"), F.col(source_col).cast("string").alias("_source"), *row)
     rows = materialize(rows, "mix-sizes")
+    same = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_same")) if not row_col else rows.withColumn("_same", F.lit(1).cast("long"))
     table = rows.groupBy("_source").agg(F.sum("_size").alias("n"), F.count(F.lit(1)).alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(table) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -124,11 +129,12 @@ def mix_sources(
     per = [(r["_source"], i, r["n"], t, t / r["n"] if r["n"] else 0.0, max(1, math.ceil(r["rows"] / BUCKET))) for i, (r, t) in enumerate(zip(table, targets, strict=True))]
     schema = "_s string, _k int, _source_size long, _target double, _rate double, _buckets long"
     shares = F.broadcast(spark.createDataFrame(per, schema))  # a row per source
-    hashed = lambda salt: F.pmod(F.xxhash64(F.col("_id"), F.lit(seed), F.lit(salt)), F.lit(1 << 40))
-    rows = rows.join(shares, F.col("_source").eqNullSafe(F.col("_s"))).select(
-        "_id", "_size", "_source", *(["_row"] if row_col else []), "_k", "_source_size", "_target",
-        F.floor("_rate").cast("long").alias("_whole"), (F.col("_rate") - F.floor("_rate")).alias("_p"),
-        (hashed(1) / F.lit(float(1 << 40))).alias("_u"), (hashed(2) % F.col("_buckets")).alias("_node"),
+    hashed = lambda salt: F.pmod(F.xxhash64(F.col("_id"), F.col("_mark"), F.lit(seed), F.lit(salt)), F.lit(1 << 40))
+    wanted = F.col("_rate") * F.col("_same")
+    rows = same.join(shares, F.col("_source").eqNullSafe(F.col("_s"))).select(
+        "_id", "_size", "_source", *(["_row"] if row_col else []), "_same", "_k", "_source_size", "_target",
+        F.floor(wanted).cast("long").alias("_whole"), (wanted - F.floor(wanted)).alias("_p"),
+        (hashed(1) / F.lit(float(1 << 40))).alias("_u"), (hashed(2) % F.col("_buckets")).alias("_node"), "_mark",
     )
     fixed = rows.where((F.col("_size") == 0) | (F.col("_p") <= 1e-12)).withColumn("_p", F.lit(0.0))
     open_rows = rows.where((F.col("_size") > 0) & (F.col("_p") > 1e-12))
@@ -148,7 +154,9 @@ def mix_sources(
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
-    copies = F.when(F.col("_size") > 0, F.col("_whole") + F.col("_p").cast("long")).otherwise(F.lit(0)).cast("long")
+    all_copies = F.when(F.col("_size") > 0, F.col("_whole") + F.col("_p").cast("long")).otherwise(F.lit(0)).cast("long")
+    result = result.withColumn("_all", all_copies).withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_same"))))
+    copies = F.expr("_all div _same") + (F.col("_nth") <= F.expr("_all % _same")).cast("long")
     return result.select(
         F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         (copies * F.col("_size")).alias("taken"), copies.alias("copies"), F.col("_source").alias("source"),
@@ -156,11 +164,10 @@ def mix_sources(
     )
 
 
-def repeat_rows(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The input's rows, each as often as mix says; its columns are unchanged. Rows with the same
-    identifier (null is one too) share the mean of their copies, rounded; an id_col that tells rows
-    apart, as mix_sources' row_col, gives each row its own copies."""
-    many = mix.groupBy(F.col(id_col).alias("__mr_id")).agg(F.round(F.avg("copies")).cast("int").alias("__mr_copies")).where("__mr_copies > 0")
-    return docs.join(many, docs[id_col].eqNullSafe(F.col("__mr_id"))).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__mr_copies"))).alias("__mr_copy")).drop("__mr_copy")
-
-
+def repeat_rows(docs: DataFrame, mix: DataFrame, row_col: str) -> DataFrame:
+    """The input's rows, each as often as mix says; its columns are unchanged. row_col is what
+    mix_sources() had as row_col: a column of docs that tells its rows apart, and is never null.
+    Rows that mix lacks or takes 0 times go; a null text is never taken; an empty table stays empty."""
+    many = mix.where("copies > 0").select(F.col(row_col).alias("__mr_id"), F.col("copies").cast("int").alias("__mr_copies"))
+    both = docs.join(many, docs[row_col] == F.col("__mr_id"))
+    return both.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__mr_copies"))).alias("__mr_copy")).drop("__mr_copy")

@@ -89,6 +89,36 @@ def test_shards(docs, none):
     assert sharding.balanced_shards(none).count() == 0
 
 
+def brute_bytes_law(data, shards):
+    """The law as stated, on its own: groups of equal texts in digest order, each in the shard where the
+    middle of its bytes lies; inside a group by a hash of the id, equal ids as they come."""
+    groups = defaultdict(list)
+    for r in data:
+        groups[hashlib.sha256(text(r[1]).encode()).digest()].append(r)
+    total, at, where = sum(len(text(r[1]).encode()) + 1 for r in data), 0, {}
+    for sha in sorted(groups):
+        size = sum(len(text(r[1]).encode()) + 1 for r in groups[sha])
+        where[sha] = min(shards - 1, shards * (at + size // 2) // total)
+        at += size
+    return where
+
+
+@pytest.mark.parametrize("shards", [1, 3, 4, 16])
+def test_shards_follow_the_law(docs, shards):
+    want = brute_bytes_law(rows(), shards)
+    of = {r[0]: hashlib.sha256(text(r[1]).encode()).digest() for r in rows()}
+    got = sharding.balanced_shards(docs, shards).collect()
+    assert all(r["shard"] == want[of[r["doc_id"]]] for r in got) and len(got) == len(rows())
+
+
+def test_shards_of_one_text_and_no_ids(spark):
+    d = spark.createDataFrame([(None, "same")] * 500 + [(256 * i, "same") for i in range(100)] + [(i, f"t{i}") for i in range(300)], "doc_id long, text string")
+    got = [r.asDict() for r in sharding.balanced_shards(d, 5).collect()]
+    assert len(got) == 900
+    for s in {r["shard"] for r in got}:
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+
+
 def test_shards_are_balanced(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     sizes = [r["s"] for r in sharding.balanced_shards(d).groupBy("shard").agg(F.sum("size").alias("s")).collect()]
@@ -131,7 +161,28 @@ def test_mixing(spark, docs, none):
         assert {r["source_size"] for r in rs} == {n[s]} and math.isclose(rs[0]["target"], want[s])
         assert abs(sum(r["taken"] for r in rs) - want[s]) <= max(r["size"] for r in rs)
     assert mixing.mix_sources(none).count() == 0
-    assert mixing.repeat_rows(docs, got).columns == docs.columns
+
+
+def test_mixing_of_rows_that_nothing_tells_apart(spark):
+    """A third of all rows agree in everything, ids are null or repeated: targets are met all the same."""
+    data = [(None, "w " * 7, "a")] * 300 + [(5, f"x{i} " * (1 + i % 9), "a") for i in range(200)] + [(i, "y " * (1 + i % 30), "b") for i in range(400)]
+    d = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = mixing.mix_sources(d, weights=(2, 3)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix_sources(d.repartition(7), weights=(2, 3)).collect()))
+    assert Counter((r["doc_id"], r["size"], r["source"]) for r in got) == Counter((i, len(t.split()), s) for i, t, s in data)
+    for s in "ab":
+        mine = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= max(r["size"] for r in mine)
+    alike = [r["copies"] for r in got if r["doc_id"] is None]
+    assert max(alike) - min(alike) <= 1
+
+
+def test_repeat_rows_goes_by_row(spark):
+    d = spark.createDataFrame([(1, "a", 7), (2, "b", 7), (3, "c", None), (4, None, 1)], "row long, text string, doc_id long")
+    mix = spark.createDataFrame([(1, 3), (2, 0), (3, 1), (4, 0)], "row long, copies long")
+    out = mixing.repeat_rows(d, mix, "row")
+    assert out.columns == d.columns and Counter(r["row"] for r in out.collect()) == {1: 3, 3: 1}
+    assert mixing.repeat_rows(d.limit(0), mix, "row").count() == 0
 
 
 def test_mixing_over_levels(spark, monkeypatch):
