@@ -64,7 +64,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Each document as often as the mix of sources takes it."""
     _start(spark)
     rows = with_row_key(docs, "mix-rows")
-    out = repeat_rows(rows, mix_sources(rows, row_col=ROW), id_col=ROW).select(*docs.columns)
+    out = repeat_rows(rows, mix_sources(rows, row_col=ROW), ROW).select(*docs.columns)
     _end()
     return out
 
