@@ -44,7 +44,7 @@ def token_counts(
 
     A second tokenizer has its own entries. Two runs that append the same miss at the same time
     leave equal entries, which are read as one. tokenizer_path must exist on all executors.
-    Null texts count as empty: 0 bytes, 0 tokens. Repeated rows each get their result. An empty
+    Null texts count as empty: 0 bytes, 0 tokens. Very long texts are encoded whole. Repeated rows each get their result. An empty
     table gives no rows and appends nothing. Other input columns are ignored.
 
     Returns id_col, n_bytes long (UTF-8 of the text as given), n_tokens long, over_limit boolean.
@@ -60,8 +60,7 @@ def token_counts(
     empty.write.mode("append").parquet(cache_path)  # so that a new cache can be read
     known = spark.read.schema(SCHEMA).parquet(cache_path).where(F.col("version") == version)
     misses = docs.select(F.sha2(text, 256).alias("digest"), text.alias("_text")).dropDuplicates(["digest"])
-    if not known.isEmpty():
-        misses = misses.join(known.select("digest"), "digest", "left_anti")
+    misses = misses.join(known.select("digest"), "digest", "left_anti")
     misses.mapInArrow(_encode(tokenizer_path, version), SCHEMA).write.mode("append").parquet(cache_path)
     counts = spark.read.schema(SCHEMA).parquet(cache_path).where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return keyed.join(counts, "digest").select(F.col("_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
