@@ -58,7 +58,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+    return filter_urls(_table(spark, sf_dir, "pages"))
 
 
 def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

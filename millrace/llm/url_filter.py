@@ -8,7 +8,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialize
+from millrace.llm._common import ROW, materialize, with_row_key
 
 #: Fixed values: (verdict, host, path) of the given rules.
 RULES = (
@@ -55,7 +55,7 @@ def given(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) ->
 def mine(baskets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """Rules (rule_id, antecedent, confidence, support) that conclude BAD from URL tokens.
 
-    baskets: items array, distinct. A rule is pruned below min_support (share of the labelled
+    baskets: items array, distinct, not null. A rule is pruned below min_support (share of the labelled
     rows) or min_confidence, or if a rule whose tokens are a subset has its confidence at least.
     """
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
@@ -72,55 +72,55 @@ def mine(baskets: DataFrame, min_support: float, min_confidence: float) -> DataF
 
 def filter_urls(
     pages: DataFrame,
-    labels: DataFrame,
+    labels: DataFrame | None = None,
     rules: Sequence[tuple[str, str, str]] = RULES,
-    min_support: float = 0.005,
+    min_support: float = 0.01,
     min_confidence: float = 0.8,
-    min_rows: int = 10,
     id_col: str = "page_id",
     url_col: str = "url",
 ) -> DataFrame:
     """Allow or block each URL by the longest given rule that fits, else by mined rules.
 
     A given rule fits its host and all subdomains where the path starts with the rule's.
-    Mined rules come from FP-growth over the token sets of labelled URLs (labels.doc_id is the
-    page's identifier; bad is quality 0 or toxic 1), pruned by support (min_support of the
-    labelled rows and min_rows of them at least) and confidence. They are
-    an inverted index: a URL's distinct tokens join the rules' tokens, and a rule whose tokens
-    are all found blocks. URLs without any match are allowed. Distinct URLs are matched once, so
-    a frequent one costs no more.
-
-    A null URL, or one without ://, has host and path "" and is allowed unless a rule fits. Without
-    labels nothing is mined. Repeated rows each get their result; an empty table gives no rows.
-    Other input columns are ignored.
-
-    Returns id_col, host, path, rule string, verdict string.
+    Mined rules come from FP-growth over the token sets of labelled URLs. labels is (id_col, bad 0
+    or 1); of several labels of an id the worst counts, null ones are ignored. Without labels the
+    given rules are what is known of URLs: those that they block are bad, and all others count as
+    not bad, so a token combination must be blocked nearly wherever it occurs. Rules are pruned by
+    support (a share of the labelled rows) and confidence. They are an inverted index: a row's
+    distinct tokens join the rules' tokens, and a rule whose tokens are all found blocks. Rows meet
+    their hits by a key of their own, so a frequent or null URL costs no more than others.
+
+    A null URL, or one without ://, has host and path "" and is allowed unless a rule fits; a null URL
+    has no tokens. Very long URLs are read whole. Where nothing is labelled bad, nothing is mined.
+    Repeated rows each get their result; an empty table gives no rows. Other input columns are
+    ignored.
+
+    Returns id_col, host, path, rule string, verdict string, mined string (the tokens of the mined
+    rule that decided, the one with the highest confidence; else null).
     """
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"))
     host, path = host_of(F.col("_url")), path_of(F.col("_url"))
     rule, verdict = given(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("host", host).withColumn("path", path).withColumn("rule", rule).withColumn("_given", verdict)
-
-    bad = labels.groupBy(F.col("doc_id").alias("_lid")).agg(F.max((F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("int")).alias("_bad"))
-    tokens = tokens_of(F.col("_url"), F.col("host"), F.col("path"))
-    items = F.when(F.col("_bad") == 1, F.array_append(tokens, F.lit(BAD))).otherwise(tokens)
-    baskets = rows.join(bad, F.col("_id") == F.col("_lid")).select(items.alias("items")).where(F.size("items") > 0)
-    baskets = materialize(baskets, "url-baskets")
-    out = [F.col("_id").alias(id_col), "host", "path", "rule", "verdict"]
-    allowed = F.coalesce("_given", F.lit("allow")).alias("verdict")
-    labelled = baskets.count()
-    if labelled < min_rows:
-        return rows.withColumn("verdict", allowed).select(*out)
-    mined = materialize(mine(baskets, max(min_support, min_rows / labelled), min_confidence), "url-rules")
+    rows = with_row_key(rows, "url-rows")
+
+    tokens = F.when(F.col("_url").isNotNull(), tokens_of(F.col("_url"), F.col("host"), F.col("path")))
+    if labels is None:
+        known = rows.withColumn("_bad", F.coalesce(F.col("_given") == "block", F.lit(False)))
+    else:
+        worst = labels.where(F.col("bad").isin(0, 1)).groupBy(F.col(id_col).alias("_lid")).agg(F.max("bad").alias("_worst"))
+        known = rows.join(worst, F.col("_id") == F.col("_lid")).withColumn("_bad", F.col("_worst") == 1)
+    items = F.when(F.col("_bad"), F.array_append(tokens, F.lit(BAD))).otherwise(tokens)
+    baskets = materialize(known.select(items.alias("items")).where(F.size("items") > 0), "url-baskets")
+    mined = materialize(mine(baskets, min_support, min_confidence), "url-rules")
     n = mined.count()
     if n > MAX_RULES:
         raise ValueError(f"{n} rules; raise min_support or min_confidence")
-    if not n:
-        return rows.withColumn("verdict", allowed).select(*out)
-    index = mined.select("rule_id", F.size("antecedent").alias("_need"), F.explode("antecedent").alias("_token"))
-    urls = rows.where("_given is null and _url is not null").select("_url", "host", "path").distinct()
-    found = urls.select("_url", F.explode(tokens).alias("_token")).join(F.broadcast(index), "_token")  # MAX_RULES rules at most
-    blocked = found.groupBy("_url", "rule_id").agg(F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_need")).where("_n = _need").select("_url").distinct()
-    blocked = blocked.withColumn("_hit", F.lit(True))
-    verdict = F.coalesce("_given", F.when(F.col("_hit"), F.lit("block")), F.lit("allow"))
-    return rows.join(blocked, "_url", "left").withColumn("verdict", verdict).select(*out)
+
+    name = F.array_join("antecedent", " ")
+    index = mined.select("rule_id", F.size("antecedent").alias("_need"), name.alias("_name"), "confidence", F.explode("antecedent").alias("_token"))
+    found = rows.where("_given is null and _url is not null").select(ROW, F.explode(tokens).alias("_token")).join(F.broadcast(index), "_token")  # MAX_RULES rules at most
+    whole = found.groupBy(ROW, "rule_id").agg(F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_need"), F.first("_name").alias("_name"), F.first("confidence").alias("_conf"))
+    hits = whole.where("_n = _need").groupBy(ROW).agg(F.max(F.struct("_conf", "_need", "_name"))["_name"].alias("mined"))
+    verdict = F.coalesce("_given", F.when(F.col("mined").isNotNull(), F.lit("block")), F.lit("allow"))
+    return rows.join(hits, ROW, "left").withColumn("verdict", verdict).select(F.col("_id").alias(id_col), "host", "path", "rule", "verdict", "mined")

@@ -340,6 +340,10 @@ def test_token_counts_and_cache(spark, docs, none, tmp_path):
     stored = spark.read.parquet(cache)
     assert stored.count() == stored.select("digest").distinct().count() == len({text(r[1]) for r in rows()})
     token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), cache).count()
+    told = str(tmp_path / "told")  # a cache that holds another number for each text: nothing is encoded again
+    stored.withColumn("n_tokens", F.lit(7).cast("long")).write.parquet(told)
+    assert {r["n_tokens"] for r in token_counts.token_counts(docs, path, told).collect()} == {7}
+    assert spark.read.parquet(told).count() == stored.count()
     assert spark.read.parquet(cache).select("version").distinct().count() == 2
     assert token_counts.token_counts(none, path).count() == 0
 
@@ -379,23 +383,74 @@ def brute_host_path(url):
 URLS = [None, "", "nothing", "http://A.Example.COM/en/7x", "https://example.com/en/8", "https://b.example.net/de/81?x=/en/", "http://net/de/", "http://xnet/de/", "http://example.org#/es/", "http://x.org/es/1\n2", "://", "http://example.org?a=b&c"]
 
 
-def test_given_url_rules(spark, labels):
+def test_given_url_rules(spark):
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(URLS * 2)], "page_id long, url string, host string, verdict string")
-    for r in url_filter.filter_urls(pages, labels).collect():
+    for r in url_filter.filter_urls(pages).collect():
         u = (URLS * 2)[r["page_id"]]
         host, path = brute_host_path(u)
         fits = [(h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
         rule, verdict = max(fits, key=lambda f: len(f[0])) if fits else (None, r["verdict"])
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, rule, verdict) and verdict in ("allow", "block")
-    assert url_filter.filter_urls(pages.limit(0), labels).count() == 0
-
-
-def test_mined_url_rules(spark):
-    urls = [f"http://h{i}.test/{'casino/win' if i % 4 == 0 else 'casino/news' if i % 4 == 1 else 'blog'}/{i}" for i in range(400)]
-    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
-    labels = spark.createDataFrame([(i, int(i % 4 != 0), 0) for i in range(0, 400, 3)], "doc_id long, quality int, toxic int")
-    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(pages, labels, min_support=0.05, min_confidence=0.8).collect()}
-    assert all((got[i] == "block") == (i % 4 == 0) for i in range(400))
+    assert url_filter.filter_urls(pages.limit(0)).count() == 0
+
+
+def brute_rules(baskets, support, confidence):
+    """All token combinations of the labelled URLs, counted one by one."""
+    from itertools import combinations
+
+    n, bad = Counter(), Counter()
+    for tokens, is_bad in baskets:
+        for k in range(1, len(tokens) + 1):
+            for c in combinations(sorted(tokens), k):
+                n[c] += 1
+                bad[c] += is_bad
+    least = math.ceil(support * len(baskets) - 1e-9)
+    found = {c: bad[c] / n[c] for c in n if bad[c] >= max(1, least) and bad[c] / n[c] >= confidence}
+    return {c: f for c, f in found.items() if not any(set(d) < set(c) and g >= f for d, g in found.items())}
+
+
+def brute_tokens(url):
+    host, path = brute_host_path(url)
+    number = lambda w: "#" if re.fullmatch(r"[0-9]+", w) else w
+    words = lambda x, tag: {tag + number(w) for w in re.split(r"[\W_]+", x.lower()) if w}
+    query = re.search(r"\?([^#]*)", url, re.S)
+    return words(host, "h:") | words(path, "p:") | {"q:" + k.lower() for k in re.findall(r"(?:^|&)([^=&]+)", query[1] if query else "")}
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_mined_url_rules_equal_brute_force(spark, labelled):
+    r = random.Random(8)
+    urls = [f"http://{r.choice(['a', 'b', 'm'])}.h{i % 7}.{r.choice(['com', 'org'])}/{r.choice(['en', 'es', 'casino/win', 'casino/news'])}/{i}{r.choice(['', '?ref=1', '#x'])}" for i in range(300)]
+    urls += ["http://same.h1.com/casino/win/5"] * 40
+    pages = spark.createDataFrame(list(enumerate([*urls, None, "nothing"])), "page_id long, url string")
+    tag = lambda u: ("casino/win" in u) != (len(u) % 11 == 0)
+    rules = [] if labelled else [("block", "com", "/casino/win"), ("block", "h3.org", "/e"), ("allow", "h2.com", "/casino/win")]
+    labels = spark.createDataFrame([(i, int(tag(u))) for i, u in enumerate(urls) if i % 3] + [(1, 0), (None, 1), (2, None)], "page_id long, bad int") if labelled else None
+    got = {x["page_id"]: x for x in url_filter.filter_urls(pages, labels, rules, min_support=0.02, min_confidence=0.7).collect()}
+
+    def by_rule(u):
+        host, path = brute_host_path(u)
+        fits = [(len(h + p), v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[1] if fits else None
+
+    if labelled:
+        baskets = [(brute_tokens(u), tag(u)) for i, u in enumerate(urls) if i % 3]
+    else:
+        baskets = [(brute_tokens(u), by_rule(u) == "block") for u in urls]
+    want = brute_rules(baskets, 0.02, 0.7)
+    assert want
+    for i, u in enumerate(urls):
+        hit = any(set(c) <= brute_tokens(u) for c in want)
+        assert got[i]["verdict"] == (by_rule(u) or ("block" if hit else "allow")), u
+        assert (got[i]["mined"] is not None) == (hit and by_rule(u) is None)
+    assert got[len(urls)]["verdict"] == got[len(urls) + 1]["verdict"] == "allow"
+
+
+def test_url_labels_with_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://x.com/a", "h", 1), (1, "http://x.com/a", "h", 0)], "page_id long, url string, host string, bad int")
+    labels = spark.createDataFrame([(1, 1, "http://y", "z")], "page_id long, bad int, url string, _token string")
+    assert [r["verdict"] for r in url_filter.filter_urls(pages, labels, []).collect()] == ["block", "block"]
+    assert [r["verdict"] for r in url_filter.filter_urls(pages, labels.limit(0), []).collect()] == ["allow", "allow"]
 
 
 def test_licenses(docs, none, spark):
