@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import per_worker, small_batches
+from millrace.llm._common import materialize, per_worker, small_batches
 
 #: Labelled rows that the models are fitted on at most, taken by a hash of their identifiers.
 TRAIN_ROWS = 20_000
@@ -20,7 +20,16 @@ VOTERS = 600
 LEAST_RATIO = 12.0
 PREFIXES = (3, 4, 5, 6)
 #: Insults whose voters exist even where no label shows them.
-LEXICON = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
+LEXICON = (
+    "arse", "arsehole", "asshole", "bastard", "bitch", "braindead", "bullshit", "clown", "coward", "creep", "cretin", "degenerate", "despicable", "dimwit", "dipshit",
+    "disgusting", "douche", "dumb", "dumbass", "filth", "fool", "freak", "fuck", "garbage", "hate", "idiot", "idiotic", "imbecile", "jerk", "kill", "liar", "loser", "lunatic",
+    "moron", "moronic", "nitwit", "parasite", "pathetic", "pig", "prick", "retard", "scum", "scumbag", "shit", "slut", "stupid", "subhuman", "trash", "twat", "ugly", "useless",
+    "vermin", "vile", "whore", "worthless", "wretch",
+)
+#: Pseudo-rows by which a labelled row anchors the accuracies of the voters in the label model.
+ANCHOR = 4.0
+#: Two voters with a correlation above this, given the class, are taken as partly the same evidence.
+CORRELATED = 0.1
 _TABLE = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
@@ -35,45 +44,82 @@ def candidates(word: str) -> list[str]:
 
 
 class Model(NamedTuple):
-    weight: dict[str, float]  # by voter
+    weight: dict[str, float]  # of the classifier, by voter
     bias: float
+    accuracy: dict[str, tuple[float, float]]  # how often a voter fires on class 1 and on class 0
+    independent: dict[str, float]  # how much of a voter is evidence of its own
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rows: np.ndarray, steps: int = 25) -> tuple[np.ndarray, np.ndarray, float]:
-    """Posterior of label 1 for each row, by EM over voters that fire or abstain.
+class LabelModel(NamedTuple):
+    posterior: np.ndarray  # of label 1, by row
+    fires: np.ndarray  # (2, voters): share of class 0 and of class 1 on which a voter fires
+    correlation: np.ndarray  # (voters, voters), given the class
+    independent: np.ndarray  # by voter
+    prior: float
 
-    votes: rows x voters, 0 or 1; rows: how many rows each one stands for. gold: given labels, one
-    more voter, wrong in about 1 % of the cases. A voter's accuracy is given by how often it fires
-    on either class. Voters that fire together are correlated: each counts by the inverse of its
-    summed squared correlations with the others, so a word and its beginnings count about once.
-    Returns posteriors, the log-odds that each voter adds, and the share of label 1.
+    @property
+    def evidence(self) -> np.ndarray:
+        """Log-odds that a firing voter adds."""
+        return np.log(self.fires[1] / self.fires[0]) * self.independent
+
+
+def correlations(x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Correlations of the voters on rows of these weights; 0 for one that is constant there."""
+    n = max(weight.sum(), 1e-9)
+    mean = weight @ x / n
+    var = mean * (1 - mean)
+    z = (x - mean) / np.sqrt(np.maximum(var, 1e-12)) * (var > 1e-9)
+    return z.T @ (z * weight[:, None]) / n
+
+
+class Anchor(NamedTuple):
+    """A prior on the voters' accuracies: shares of each class on which they fire, (2, voters), and
+    the rows that these count for, (2,)."""
+
+    fires: np.ndarray
+    rows: np.ndarray
+
+
+def label_model(votes: np.ndarray, rows: np.ndarray, start: np.ndarray, anchor: Anchor | None = None, steps: int = 60) -> LabelModel:
+    """EM for a latent label that voters, which fire or abstain, depend on. No row's own label enters.
+
+    votes: rows x voters, 0 or 1; rows: how many rows each one stands for; start: the first
+    posterior. Each step estimates the share of label 1, how often every voter fires on either class
+    (with the anchor's rows as pseudo-counts), and the voters' correlations given the class. A voter
+    counts by the inverse of its summed squared correlations, so a word and its beginnings count
+    about once.
     """
-    x, n = votes.astype("float64"), rows.sum()
-    mean = rows @ x / n
-    z = (x - mean) / np.sqrt(np.maximum(mean * (1 - mean), 1e-9))
-    together = (z.T @ (z * rows[:, None]) / n) ** 2
-    share = 1 / np.maximum(1.0, np.where(together > 0.1, together, 0).sum(1))
-    p = np.where(gold > 0, 0.99, 0.01)
-    given = np.where(gold > 0, 1, -1) * np.log(0.99 / 0.01)
+    x, n, p = votes.astype("float64"), rows.sum(), start.astype("float64")
+    anchor = anchor or Anchor(np.full((2, x.shape[1]), 0.5), np.full(2, 0.1))
+    k0, k1 = anchor.rows
     for _ in range(steps):
         one, zero = rows * p, rows * (1 - p)
-        prior = np.clip(one.sum() / n, 1e-3, 1 - 1e-3)
-        on1, on0 = (one @ x + 0.05) / (one.sum() + 0.1), (zero @ x + 0.05) / (zero.sum() + 0.1)
-        fire, quiet = np.log(on1 / on0) * share, np.log((1 - on1) / (1 - on0)) * share
-        odds = np.log(prior / (1 - prior)) + x @ (fire - quiet) + quiet.sum() + given
+        prior = np.clip((one.sum() + k1) / (n + k0 + k1), 1e-3, 1 - 1e-3)
+        fires = np.stack([(zero @ x + k0 * anchor.fires[0]) / (zero.sum() + k0), (one @ x + k1 * anchor.fires[1]) / (one.sum() + k1)])
+        rho = (one.sum() * correlations(x, one) + zero.sum() * correlations(x, zero)) / n
+        np.fill_diagonal(rho, 0)
+        independent = 1 / (1 + np.where(np.abs(rho) > CORRELATED, rho**2, 0).sum(1))
+        fire, quiet = (np.log(f[1] / f[0]) * independent for f in (fires, 1 - fires))
+        odds = np.log(prior / (1 - prior)) + x @ (fire - quiet) + quiet.sum()
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        if np.abs(new - p).max() < 1e-6:
+        moved, p = np.abs(new - p).max(), new
+        if moved < 1e-6:
             break
-        p = new
-    return p, fire, float(prior)
+    return LabelModel(p, fires, rho + np.eye(len(rho)), independent, float(prior))
+
+
+def anchored(votes: np.ndarray, rows: np.ndarray, gold: np.ndarray) -> tuple[np.ndarray, Anchor]:
+    """What labelled rows say of the voters: the first posterior, in which a row is as likely label 1
+    as the labelled rows of its surest voter are, and how often voters fire on either label."""
+    x, one, zero = votes.astype("float64"), rows * gold, rows * (1 - gold)
+    right = (one @ x + 0.1) / (rows @ x + 1.0)
+    fires = np.stack([(zero @ x + 0.05) / (zero.sum() + 0.1), (one @ x + 0.05) / (one.sum() + 0.1)])
+    return np.where(votes.any(1), (x * right).max(1), 0.01), Anchor(fires, ANCHOR * np.array([zero.sum(), one.sum()]))
 
 
 def linear(votes: np.ndarray, target: np.ndarray, rows: np.ndarray, ridge: float = 0.3, steps: int = 30) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by Newton steps, both classes weighed alike."""
-    x = np.hstack([votes.astype("float64"), np.ones((len(votes), 1))])
-    n1 = max(1e-9, rows @ target)
-    n0 = max(1e-9, rows.sum() - n1)
-    cost = rows * np.where(target > 0.5, rows.sum() / 2 / n1, rows.sum() / 2 / n0)
+    """Logistic regression on soft labels by Newton steps."""
+    x, cost = np.hstack([votes.astype("float64"), np.ones((len(votes), 1))]), rows
     w, pull = np.zeros(x.shape[1]), np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -112,20 +158,24 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS, voters: int = VOTERS) -> Model:
-    """Fit on labelled rows that are not held out, at most `rows` of them.
+    """Fit on labelled rows that are not held out, at most `rows` of them, taken by a hash of their
+    identifiers; of rows with one identifier the smallest text is taken, of labels the worst.
 
     Voters are the lexicon and the words and word beginnings that tell the labels apart best on
-    these rows (by log-likelihood ratio, LEAST_RATIO at least). Counts,
-    and per row the voters that fire, are all that reaches the driver. Without labels of both
-    classes the lexicon alone votes.
+    these rows (by log-likelihood ratio, LEAST_RATIO at least). Labels choose the voters and anchor
+    their accuracies, which label_model() then estimates from votes; the classifier is trained on its
+    posteriors, not on labels. A lexicon voter that never fired weighs as the lexicon's median. Counts, and per row the voters that fire, are all that reaches the driver.
+
+    Null identifiers and null labels are ignored, null texts are empty. Without labels of both
+    classes, or where no voter fires (empty tables too), the lexicon alone votes.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("_lid")).agg(F.max("toxic").alias("_y")).orderBy(F.xxhash64("_lid"), "_lid").limit(rows)
     text = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    sample = text.join(F.broadcast(known), F.col("_id") == F.col("_lid")).select("_lid", "_y", "_text")  # `rows` rows at most
-    size = known.groupBy("_y").count().collect()
-    n = {r["_y"]: r["count"] for r in size}
-    base = Model({f"={w}": 6.0 for w in LEXICON}, -3.0)
+    sample = text.join(F.broadcast(known), F.col("_id") == F.col("_lid")).groupBy("_lid", "_y").agg(F.min("_text").alias("_text"))  # `rows` rows at most
+    sample = materialize(sample, "toxicity-sample")
+    n = {r["_y"]: r["count"] for r in sample.groupBy("_y").count().collect()}
+    base = Model({f"={w}": 6.0 for w in LEXICON}, -3.0, {}, {})
     if len(n) < 2:
         return base
     counts = sample.select("_text", "_y").mapInArrow(_count, "voter string, n1 long, n0 long").groupBy("voter").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
@@ -134,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     best = counts.where((ratio >= LEAST_RATIO) & (p1 > 5 * p0)).orderBy(ratio.desc(), "voter").limit(voters).collect()
     names = sorted({r["voter"] for r in best} | set(base.weight))
     index = {v: i for i, v in enumerate(names)}
-    got = sample.mapInArrow(_votes(index), "_lid {}, _y int, hits array<int>".format(dict(labels.dtypes)[id_col])).limit(2 * rows).collect()
+    got = sample.mapInArrow(_votes(index), "_lid {}, _y int, hits array<int>".format(dict(labels.dtypes)[id_col])).select("_y", "hits").collect()
     alike: dict[tuple, int] = {}  # most rows call no voter at all
     for r in got:
         key = (*r["hits"], r["_y"])
@@ -147,14 +197,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not seen.any():
         return base
     votes, names = votes[:, seen], [v for v, s in zip(names, seen, strict=True) if s]
-    posterior, _, _ = label_model(votes, y, rows_of)
-    w, bias = linear(votes, posterior, rows_of)
-    return Model(base.weight | {v: float(x) for v, x in zip(names, w, strict=True) if x > 0}, min(bias, -1.0))
+    found = label_model(votes, rows_of, *anchored(votes, rows_of, y))
+    w, bias = linear(votes, found.posterior, rows_of)
+    heard = [x for v, x in zip(names, w.tolist(), strict=True) if v in base.weight]
+    unheard = dict.fromkeys(base.weight, float(np.median(heard)) if heard else 6.0)
+    fires, own = found.fires.T[:, ::-1].tolist(), found.independent.tolist()
+    return Model(
+        unheard | dict(zip(names, w.tolist(), strict=True)), bias,
+        {v: tuple(f) for v, f in zip(names, fires, strict=True)}, dict(zip(names, own, strict=True)),
+    )
 
 
 def _score(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        calls: dict[str, tuple[str, ...]] = per_worker(("voters", tuple(sorted(model.weight.items()))), dict)
+        weight, bias = model.weight, model.bias
+        calls: dict[str, tuple[str, ...]] = per_worker(("voters", tuple(sorted(weight.items()))), dict)
         for b in batches:
             out = []
             for text in b.column("_text").to_pylist():
@@ -164,10 +221,10 @@ def _score(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     if c is None:
                         if len(calls) > 150_000:
                             calls.clear()
-                        calls[w] = c = tuple(v for v in candidates(w) if v in model.weight)
+                        calls[w] = c = tuple(v for v in candidates(w) if v in weight)
                     if c:
                         fired.update(c)
-                odds = model.bias + sum(sorted(model.weight[v] for v in fired))
+                odds = bias + sum(sorted(weight[v] for v in fired))
                 out.append(1 / (1 + np.exp(-max(-30.0, min(30.0, odds)))))
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(out, pa.float64())], ["_id", "score"])
 
@@ -178,7 +235,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """Score the whole text of every row by the linear classifier that fit() trains.
 
     Only the text enters a score. Null texts count as empty and, with no voter firing, score low.
-    Repeated rows each get their result. An empty table gives no rows. Other input columns are
+    Very long texts are read whole. Repeated rows each get their result. An empty table gives no rows. Other input columns are
     ignored. A null identifier is held out of nothing and gets held_out false.
 
     Returns id_col, held_out boolean, score double (0 to 1), predicted int (score >= 0.5).
@@ -192,7 +249,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that toxicity() predicts 0 for, all columns unchanged, in one pass without a shuffle."""
+    """The rows that toxicity() predicts 0 for, all columns unchanged, in one pass without a shuffle.
+
+    Rows with null or empty text, and null or repeated identifiers, are judged by their text alone as
+    all others, and each by itself. An empty table gives no rows; without labels see fit()."""
     small_batches(docs.sparkSession)
     model = fit(docs, labels, id_col, text_col)
     score = _score(model)
