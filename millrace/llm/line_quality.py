@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -11,15 +11,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import per_worker, small_batches
+from millrace.llm._common import materialize, per_worker, small_batches
+from millrace.llm._shingles import WordHashes
 
 #: Labelled rows that training takes at most, with all their lines.
 TRAIN_ROWS = 4000
-#: Lines, padding included, of the chains that training handles side by side (one may have more).
-SIDE_BY_SIDE = 256 * 200
 SYMBOLS = b"#*$%&|<>"
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-_KEEP_SYMBOLS = bytes(c for c in range(256) if c not in SYMBOLS)
+
+
+def _bytes_in(chars: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars)] = True
+    return out
+
+
+_SPACE, _SYMBOL, _DIGIT, _MARK = _bytes_in(_SPACES), _bytes_in(SYMBOLS), _bytes_in(b"0123456789"), _bytes_in(b"!?{}[]()=;_~^")
+_UPPER = _bytes_in(bytes(range(65, 91)))
+_LETTER = _UPPER | _bytes_in(bytes(range(97, 123)))
+_END = _bytes_in(b".!?:;\"',|").astype(np.int64) + _bytes_in(b".!?:;\"'")
 #: Edges of the buckets into which a line's measures fall.
 EDGES = {
     "symbols": (0.01, 0.03, 0.06, 0.12, 0.25),
@@ -32,12 +42,24 @@ EDGES = {
     "copies": (1, 2, 4),
     "end": (1, 2),
 }
+#: What a line's measures say of it before any training, as log-odds of content by bucket: symbols,
+#: shouting, words or lines that repeat and signs speak against it, a sentence of several words for it.
+EVIDENCE = {
+    "symbols": (0.5, 0, -3, -3, -3, -3), "upper": (0, 0, 0, 0, -3), "repeat": (0, 0, 0, -1, -3, -3), "words": (0, -1, 0, 0, 0.5, 0.5, 0.5), "mean_word": (0, 0, 0, 0, 0, 0),
+    "digits": (0, 0, 0, -1), "marks": (0, 0, -1, -2, -3), "copies": (0, 0, -2, -2), "end": (-0.5, -1, 1),
+}
+#: Log-odds that a document's label adds to each of its lines: boilerplate, content.
+BY_LABEL = (-1.0, 1.0)
 _OFFSET, N_FEATURES = {}, 1
 for _name, _edges in EDGES.items():
     _OFFSET[_name] = N_FEATURES
     N_FEATURES += len(_edges) + 1
 
 
+#: Log-odds of content by feature; the bias has none.
+_EVIDENCE = np.concatenate([[0.0], *[np.array(EVIDENCE[n], "float64") for n in EDGES]])
+
+
 class Base(NamedTuple):
     n_words: int
     word_chars: int
@@ -45,84 +67,112 @@ class Base(NamedTuple):
     n_dup_lines: int
     n_repeat_words: int
 
-    @property
-    def failed(self) -> bool:
-        return self.n_words < 10 or 100 * self.n_repeat_words > 20 * self.n_words
-
 
-class _WordIds(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 150_000:
-            self.clear()  # ids are hashes, so a new start changes nothing
-        self[word] = out = zlib.crc32(word) | zlib.adler32(word[::-1]) << 32
-        return out
-
-
-def repeat_words(ids: np.ndarray, window: int = 5) -> int:
-    """Words in windows that occur twice or more, first occurrences included."""
+def repeat_words(ids: np.ndarray, doc: np.ndarray, window: int = 5) -> np.ndarray:
+    """Whether each word lies in a window that occurs twice or more in its document, first
+    occurrences included. doc: the document of each word, in order."""
     n = len(ids) - window + 1
+    out = np.zeros(max(0, len(ids)), bool)
     if n < 2:
-        return 0
-    h = np.zeros(n, np.uint64)
+        return out
+    h = doc[:n].astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
     for k in range(window):
         h = (h ^ ids[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    order = np.argsort(h, kind="stable")
+    whole = np.flatnonzero(doc[:n] == doc[window - 1 :])
+    order = whole[np.argsort(h[whole], kind="stable")]
     same = h[order][1:] == h[order][:-1]
     twice = np.zeros(n, bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
     mark = np.zeros(len(ids) + 1, np.int64)
-    np.add.at(mark, np.flatnonzero(twice), 1)
-    np.add.at(mark, np.flatnonzero(twice) + window, -1)
-    return int((np.cumsum(mark)[:-1] > 0).sum())
-
-
-def base_stats(text: bytes, ids: _WordIds) -> Base:
-    words = text.split()
-    n_chars = len(text) - sum(map(text.count, (bytes([c]) for c in _SPACES)))
-    chars = len(text.decode("utf-8", "surrogatepass")) - (len(text) - n_chars)
-    seen, dup = set(), 0
-    for line in text.split(b"\n"):
-        if line in seen:
-            dup += bool(line.strip(_SPACES))
-        seen.add(line)
+    mark[:n] += twice
+    mark[window : window + n] -= twice
+    return np.cumsum(mark)[:-1] > 0
+
+
+class Lines(NamedTuple):
+    """Lines that hold a word, of several documents in order."""
+
+    stats: np.ndarray  # (documents, 5), as Base
+    count: np.ndarray  # lines of each document
+    at: np.ndarray  # (lines, measures + 1), the active features; the last is the bias
+    weight: np.ndarray  # code points in a line's words
+
+
+def read_lines(texts: list[bytes], ids: WordHashes) -> Lines:
+    """Base counts of each text, and features of each line that holds a word (a bucket per measure).
+
+    All texts are measured side by side as one array of bytes. Measures are shares of a line's code
+    points in words, or of its words."""
+    data = b"\n".join([*texts, b""])
+    lines = data.split(b"\n")[:-1]
+    per_doc = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
+    doc_of_line = np.repeat(np.arange(len(texts)), per_doc)
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(raw == 10)
+    starts = np.append(0, ends[:-1] + 1)
+    per_line = lambda mask: np.add.reduceat(mask.astype(np.int64), starts)
+
+    inside = ~_SPACE[raw]
+    begins = inside & ~np.append(False, inside[:-1])
+    n, n_words = per_line(inside & ((raw & 0xC0) != 0x80)), per_line(begins)
+    symbols, letters, upper = per_line(_SYMBOL[raw]), per_line(_LETTER[raw]), per_line(_UPPER[raw])
+    last = np.maximum.reduceat(np.where(inside, np.arange(len(raw)), 0), starts)
+
+    words = data.split()
     hashed = np.fromiter(map(ids.__getitem__, words), np.uint64, len(words))
-    return Base(len(words), chars, len(text) - len(text.translate(None, SYMBOLS)), dup, repeat_words(hashed))
-
-
-def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Active features of each line that holds a word (one per measure, and the bias), and the
-    code points in its words. Measures are shares of the line's characters or words."""
-    lines = [x for x in text.split(b"\n") if x.strip(_SPACES)]
-    times: dict[bytes, int] = {}
-    for x in lines:
-        times[x] = times.get(x, 0) + 1
-    values = np.empty((len(lines), len(EDGES)))
-    weight = np.empty(len(lines))
-    for i, line in enumerate(lines):
-        words = line.split()
-        s = b"".join(words).decode("utf-8", "replace")
-        n = max(1, len(s))
-        ascii_letters = sum(map(s.count, "aeiouAEIOU"))
-        upper = sum(map(s.count, "AEIOU"))
-        weight[i] = n
-        values[i] = (
-            sum(map(s.count, "#*$%&|<>")) / n,
-            upper / max(1, ascii_letters),
-            1 - len(set(words)) / len(words),
-            len(words),
-            n / len(words),
-            sum(map(s.count, "0123456789")) / n,
-            sum(map(s.count, "!?{}[]()=;_~^")) / n,
-            times[line],
-            2 if s[-1] in ".!?:;\"'" else 1 if s[-1] in ",|" else 0,
-        )
-    at = np.empty((len(lines), len(EDGES) + 1), np.int64)
-    at[:, -1] = 0
+    line_of_word = np.repeat(np.arange(len(lines)), n_words)
+    order = np.lexsort((hashed, line_of_word))
+    a, b = hashed[order], line_of_word[order]
+    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(words)]
+    distinct = np.bincount(b[new], minlength=len(lines))
+    doc_of_word = doc_of_line[line_of_word]
+    repeated = np.bincount(doc_of_word[repeat_words(hashed, doc_of_word)], minlength=len(texts))
+
+    copies, dup, low = np.ones(len(lines), np.int64), np.zeros(len(texts), np.int64), 0
+    for i, k in enumerate(per_doc.tolist()):
+        part = lines[low : low + k]
+        times = Counter(part)
+        if len(times) < k:
+            copies[low : low + k] = [times[x] for x in part]
+            dup[i] = sum(v - 1 for x, v in times.items() if v > 1 and x.strip(_SPACES))
+        low += k
+
+    by_doc = lambda x: np.bincount(doc_of_line, x, len(texts)).astype(np.int64)
+    stats = np.stack([by_doc(n_words), by_doc(n), by_doc(symbols), dup, repeated], 1)
+    kept = np.flatnonzero(n_words > 0)
+    n, k = n[kept], n_words[kept]
+    values = {
+        "symbols": symbols[kept] / n, "upper": upper[kept] / np.maximum(1, letters[kept]), "repeat": 1 - distinct[kept] / k, "words": k, "mean_word": n / k,
+        "digits": per_line(_DIGIT[raw])[kept] / n, "marks": per_line(_MARK[raw])[kept] / n, "copies": copies[kept], "end": _END[raw[last[kept]]],
+    }
+    at = np.zeros((len(kept), len(EDGES) + 1), np.int64)
     for j, (name, edges) in enumerate(EDGES.items()):
-        at[:, j] = _OFFSET[name] + np.searchsorted(edges, values[:, j], "right")
-    return at, weight
+        at[:, j] = _OFFSET[name] + np.searchsorted(edges, values[name], "right")
+    return Lines(stats, np.bincount(doc_of_line[kept], minlength=len(texts)), at, n.astype("float64"))
+
+
+class Chains:
+    """Chains of lines, one behind the other in flat arrays; step t of all chains that are that long
+    is one operation."""
+
+    def __init__(self, count: np.ndarray):
+        first = np.cumsum(count) - count
+        order = np.argsort(-count, kind="stable")
+        order = order[count[order] > 0]
+        self.first, self.count = first[order], count[order]
+        longest = int(self.count[0]) if len(order) else 0
+        self.live = np.searchsorted(-self.count, -np.arange(longest), "left")  # chains longer than t
+
+    def steps(self) -> Iterator[np.ndarray]:
+        """The lines at place t, t from 1, of the chains that have one."""
+        for t in range(1, len(self.live)):
+            yield self.first[: self.live[t]] + t
+
+    def steps_back(self) -> Iterator[np.ndarray]:
+        for t in range(len(self.live) - 1, 0, -1):
+            yield self.first[: self.live[t]] + t
 
 
 class Crf(NamedTuple):
@@ -131,104 +181,104 @@ class Crf(NamedTuple):
     emit: np.ndarray  # (N_FEATURES, 2)
     move: np.ndarray  # (2, 2)
 
-    def viterbi(self, at: np.ndarray) -> np.ndarray:
-        score = self.emit[at].sum(1)
+    def score(self, at: np.ndarray) -> np.ndarray:
+        return self.emit[at].sum(1)
+
+    def viterbi(self, at: np.ndarray, count: np.ndarray | None = None) -> np.ndarray:
+        """The best path of each chain; count: the lines of each chain (one chain without it)."""
+        chains = Chains(np.array([len(at)]) if count is None else count)
+        best = self.score(at)
         back = np.zeros((len(at), 2), np.int64)
-        best = score[0]
-        for t in range(1, len(at)):
-            step = best[:, None] + self.move
-            back[t] = step.argmax(0)
-            best = step.max(0) + score[t]
-        path = np.empty(len(at), np.int64)
-        path[-1] = best.argmax()
-        for t in range(len(at) - 1, 0, -1):
-            path[t - 1] = back[t, path[t]]
+        for i in chains.steps():
+            step = best[i - 1][:, :, None] + self.move
+            back[i] = step.argmax(1)
+            best[i] += step.max(1)
+        path = np.zeros(len(at), np.int64)
+        ends = chains.first + chains.count - 1
+        path[ends] = best[ends].argmax(1)
+        for i in chains.steps_back():
+            path[i - 1] = back[i, path[i]]
         return path
 
-
-def train_crf(chains: list[tuple[np.ndarray, int]], steps: int = 60, rate: float = 0.5, l2: float = 1e-4) -> Crf:
-    """Maximum likelihood by forward-backward and gradient ascent, all chains side by side.
-
-    Each chain's lines carry its document's label; the classes weigh the same in total.
+    def expect(self, score: np.ndarray, chains: Chains) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Posteriors of the states of each line, of each pair of neighbours, and the pairs' second lines."""
+        e, m = np.exp(score - score.max(1, keepdims=True)), np.exp(self.move - self.move.max())
+        fwd, bwd = e.copy(), np.ones_like(e)
+        for i in chains.steps():
+            x = (fwd[i - 1] @ m) * e[i]
+            fwd[i] = x / x.sum(1, keepdims=True)
+        for i in chains.steps_back():
+            x = (e[i] * bwd[i]) @ m.T
+            bwd[i - 1] = x / x.sum(1, keepdims=True)
+        p = fwd * bwd
+        second = np.ones(len(e), bool)
+        second[chains.first] = False
+        second = np.flatnonzero(second)
+        pair = fwd[second - 1][:, :, None] * m * (e * bwd)[second][:, None, :]
+        return p / p.sum(1, keepdims=True), pair / pair.sum((1, 2), keepdims=True), second
+
+
+def train_crf(at: np.ndarray, count: np.ndarray, label: np.ndarray, steps: int = 60, rate: float = 0.5, l2: float = 1e-4) -> Crf:
+    """Maximum likelihood for a chain whose states are hidden, by gradient ascent.
+
+    at, count: lines as in Lines; label: 0 or 1 of each document. What is known of a line's state is
+    weak: EVIDENCE of its own measures and BY_LABEL of its document, added up as log-odds. The
+    gradient is what the chain expects with that evidence less what it expects without, so a document
+    may hold content and boilerplate whatever its label. Classes weigh the same in total.
     """
-    chains = sorted(chains, key=lambda c: len(c[0]))
+    chains, doc = Chains(count), np.repeat(np.arange(len(count)), count)
+    known = np.zeros((len(at), 2))
+    known[:, 1] = _EVIDENCE[at].sum(1) + np.array(BY_LABEL)[label][doc]
+    share = np.bincount(label[count > 0], minlength=2)
+    w = (1 / (2 * np.maximum(1, share[label]) * np.maximum(1, count)))[doc]
     emit, move = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
-    share = np.bincount([y for _, y in chains], minlength=2)
-    groups = []
-    low = 0
-    while low < len(chains):
-        high = low + 1
-        while high < min(low + 256, len(chains)) and (high + 1 - low) * len(chains[high][0]) <= SIDE_BY_SIDE:
-            high += 1
-        part, low = chains[low:high], high
-        t = len(part[-1][0])
-        at = np.zeros((len(part), t, len(EDGES) + 1), np.int64)
-        real = np.zeros((len(part), t), bool)
-        for i, (a, _) in enumerate(part):
-            at[i, : len(a)], real[i, : len(a)] = a, True
-        y = np.array([y for _, y in part])
-        groups.append((at, real, y, (len(chains) / (2.0 * np.maximum(1, share[y]))) / np.maximum(1, real.sum(1))))
     g2e, g2m = np.full_like(emit, 1e-8), np.full_like(move, 1e-8)
     for _ in range(steps):
-        ge, gm = np.zeros_like(emit), np.zeros_like(move)
-        for at, real, y, w in groups:
-            score = emit[at].sum(2) * real[..., None]
-            n, t, _ = score.shape
-            fwd, bwd = np.zeros((n, t, 2)), np.zeros((n, t, 2))
-            fwd[:, 0] = score[:, 0]
-            for k in range(1, t):
-                new = np.logaddexp.reduce(fwd[:, k - 1, :, None] + move, axis=1) + score[:, k]
-                fwd[:, k] = np.where(real[:, k, None], new, fwd[:, k - 1])
-            for k in range(t - 2, -1, -1):
-                new = np.logaddexp.reduce(move + (score[:, k + 1] + bwd[:, k + 1])[:, None, :], axis=2)
-                bwd[:, k] = np.where(real[:, k + 1, None], new, bwd[:, k + 1])
-            z = np.logaddexp.reduce(fwd[:, -1], axis=1)
-            p = np.exp(fwd + bwd - z[:, None, None]) * real[..., None]
-            gold = np.zeros_like(p)
-            gold[np.arange(n), :, y] = 1
-            diff = (gold * real[..., None] - p) * w[:, None, None]
-            for j in range(at.shape[2]):
-                for s in range(2):
-                    ge[:, s] += np.bincount(at[..., j].ravel(), diff[..., s].ravel(), N_FEATURES)
-            for k in range(1, t):
-                pair = np.exp(fwd[:, k - 1, :, None] + move + (score[:, k] + bwd[:, k])[:, None, :] - z[:, None, None])
-                one = np.zeros_like(pair)
-                one[np.arange(n), y, y] = 1
-                gm += ((one - pair) * (real[:, k] * w)[:, None, None]).sum(0)
-        ge, gm = ge / len(chains) - l2 * emit, gm / len(chains) - l2 * move
+        crf = Crf(emit, move)
+        score = crf.score(at)
+        (p1, q1, second), (p0, q0, _) = crf.expect(score + known, chains), crf.expect(score, chains)
+        diff = (p1 - p0) * w[:, None]
+        ge = np.stack([np.bincount(at.ravel(), np.repeat(diff[:, s], at.shape[1]), N_FEATURES) for s in range(2)], 1) - l2 * emit
+        gm = ((q1 - q0) * w[second][:, None, None]).sum(0) - l2 * move
         g2e, g2m = g2e + ge**2, g2m + gm**2
         emit, move = emit + rate * ge / np.sqrt(g2e), move + rate * gm / np.sqrt(g2m)
     return Crf(emit, move)
 
 
-def content_share(text: bytes, crf: Crf) -> float:
-    """Code points of words in content lines over those in all lines; 1 without lines."""
-    at, weight = line_features(text)
-    return float((crf.viterbi(at) * weight).sum() / weight.sum()) if len(at) else 1.0
+def content_shares(lines: Lines, crf: Crf) -> np.ndarray:
+    """Code points of words in content lines over those in all lines, by document; 1 without lines."""
+    doc = np.repeat(np.arange(len(lines.count)), lines.count)
+    total = np.bincount(doc, lines.weight, len(lines.count))
+    content = np.bincount(doc, lines.weight * crf.viterbi(lines.at, lines.count), len(lines.count))
+    return np.where(total > 0, content / np.maximum(total, 1), 1.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Crf | None:
-    """A CRF from at most `rows` labelled rows, taken by a hash of their identifiers.
+    """A CRF from at most `rows` labelled rows, taken by a hash of their identifiers, all their lines.
 
-    Labels are quality 0 (boilerplate) and 1 (content); null labels are ignored. None where a
-    class has no row. Only their line features reach the driver.
+    Labels are quality 0 (mostly boilerplate) and 1 (mostly content); null labels and identifiers are
+    ignored, of several labels of an identifier the smallest counts, of several rows the smallest
+    text; null texts have no lines. None where a class has no row, as with empty tables. Only line
+    features of these rows reach the driver.
     """
     known = labels.where("quality in (0, 1)").groupBy(F.col(id_col).alias("_lid")).agg(F.min("quality").alias("_y"))
     known = known.where("_lid is not null").orderBy(F.xxhash64("_lid"), "_lid").limit(rows)
-    sample = F.broadcast(known)  # `rows` rows at most
-    text = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("_text"))
+    text = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    sample = text.join(F.broadcast(known), F.col("_id") == F.col("_lid")).groupBy("_lid", "_y").agg(F.min("_text").alias("_text"))  # `rows` rows at most
+    sample = sample.select("_lid", "_y", F.col("_text").cast("binary").alias("_text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = [line_features(x)[0].astype("<u1").tobytes() for x in b.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("_y"), pa.array(at, pa.binary())], ["_y", "_at"])
+            lines = read_lines(b.column("_text").to_pylist(), per_worker(("words",), WordHashes))
+            parts = np.split(lines.at.astype("<u1"), np.cumsum(lines.count)[:-1])
+            yield pa.RecordBatch.from_arrays([b.column("_lid"), b.column("_y"), pa.array([x.tobytes() for x in parts], pa.binary())], ["_lid", "_y", "_at"])
 
-    got = text.join(sample, F.col("_id") == F.col("_lid")).select("_y", "_text").mapInArrow(features, "_y int, _at binary").limit(2 * rows).collect()
-    chains = [(np.frombuffer(r["_at"], "<u1").astype(np.int64).reshape(-1, len(EDGES) + 1), r["_y"]) for r in got if r["_at"]]
-    chains.sort(key=lambda c: (len(c[0]), c[1], c[0].tobytes()))
-    if len({y for _, y in chains}) < 2:
+    kind = dict(labels.dtypes)[id_col]
+    got = materialize(sample.mapInArrow(features, f"_lid {kind}, _y int, _at binary"), "quality-sample").orderBy("_lid").collect()
+    if len({r["_y"] for r in got if r["_at"]}) < 2:
         return None
-    return train_crf(chains)
+    one = [np.frombuffer(r["_at"], "<u1").astype(np.int64).reshape(-1, len(EDGES) + 1) for r in got]
+    return train_crf(np.concatenate(one), np.array([len(x) for x in one]), np.array([r["_y"] for r in got]))
 
 
 SCHEMA = (
@@ -239,16 +289,17 @@ SCHEMA = (
 
 def _judge(crf: Crf | None, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = per_worker(("line words",), _WordIds)
+        ids = per_worker(("words",), WordHashes)
         for b in batches:
-            texts = b.column("_text").to_pylist()
-            stats = [base_stats(x, ids) for x in texts]
-            share = [content_share(x, crf) if crf else 1.0 for x in texts]
-            cols = [pa.array(c, pa.int64()) for c in zip(*stats, strict=True)] if stats else [pa.array([], pa.int64())] * 5
-            bad = [s.failed for s in stats]
-            kept = [not f and x >= least for f, x in zip(bad, share, strict=True)]
+            if not b.num_rows:
+                continue
+            lines = read_lines(b.column("_text").to_pylist(), ids)
+            share = content_shares(lines, crf) if crf else np.ones(b.num_rows)
+            n, repeated = lines.stats[:, 0], lines.stats[:, 4]
+            bad = (n < 10) | (100 * repeated > 20 * n)
+            cols = [pa.array(c, pa.int64()) for c in lines.stats.T]
             names = ["_id", *Base._fields, "base_failed", "content_share", "kept"]
-            yield pa.RecordBatch.from_arrays([b.column("_id"), *cols, pa.array(bad, pa.bool_()), pa.array(share, pa.float64()), pa.array(kept, pa.bool_())], names)
+            yield pa.RecordBatch.from_arrays([b.column("_id"), *cols, pa.array(bad, pa.bool_()), pa.array(share, pa.float64()), pa.array(~bad & (share >= least), pa.bool_())], names)
 
     return run
 
@@ -256,8 +307,8 @@ def _judge(crf: Crf | None, least: float) -> Callable[[Iterator[pa.RecordBatch]]
 def line_quality(docs: DataFrame, labels: DataFrame, least_content: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Base rules, and the share of content by Viterbi decoding of a linear-chain CRF.
 
-    The CRF is trained on a bounded sample of labelled rows (TRAIN_ROWS, all their lines); every line
-    of every row is decoded. A row fails the base rules with under 10 words, or with more than
+    The CRF is trained on a bounded sample of labelled rows (TRAIN_ROWS, all their lines), whose line
+    states are hidden; see train_crf(). Every line of every row is decoded, very long texts too. A row fails the base rules with under 10 words, or with more than
     20 % of its words in 5-word windows that occur twice or more in it. It is kept if it passes
     them and lines marked as content hold least_content of its word characters.
 
