@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialize, per_worker, small_batches
-from millrace.llm._shingles import WordHashes
+from millrace.llm._common import materialize, small_batches
 
 #: Labelled rows that training takes at most, with all their lines.
 TRAIN_ROWS = 4000
+#: Bytes of texts that are measured side by side (one text may have more).
+SIDE_BY_SIDE = 4 << 20
 SYMBOLS = b"#*$%&|<>"
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -60,6 +61,23 @@ for _name, _edges in EDGES.items():
 _EVIDENCE = np.concatenate([[0.0], *[np.array(EVIDENCE[n], "float64") for n in EDGES]])
 
 
+#: A hash of a word is the sum of its bytes' random values, each times a power of an odd number.
+_BASE = 0x9E3779B97F4A7C15
+_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+
+
+def word_hashes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words raw[begins:ends], all at once by sums of prefixes."""
+    powers = np.full(len(raw) + 1, _BASE, np.uint64)
+    powers[0] = 1
+    powers = np.cumprod(powers)
+    sums = np.append(np.uint64(0), np.cumsum(_VALUES[raw] * powers[:-1]))
+    back = np.full(len(raw) + 1, pow(_BASE, -1, 1 << 64), np.uint64)
+    back[0] = 1
+    h = (sums[ends] - sums[begins]) * np.cumprod(back)[begins]
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + (ends - begins).astype(np.uint64)
+
+
 class Base(NamedTuple):
     n_words: int
     word_chars: int
@@ -100,7 +118,7 @@ class Lines(NamedTuple):
     weight: np.ndarray  # code points in a line's words
 
 
-def read_lines(texts: list[bytes], ids: WordHashes) -> Lines:
+def read_lines(texts: list[bytes]) -> Lines:
     """Base counts of each text, and features of each line that holds a word (a bucket per measure).
 
     All texts are measured side by side as one array of bytes. Measures are shares of a line's code
@@ -112,7 +130,7 @@ def read_lines(texts: list[bytes], ids: WordHashes) -> Lines:
     raw = np.frombuffer(data, np.uint8)
     ends = np.flatnonzero(raw == 10)
     starts = np.append(0, ends[:-1] + 1)
-    per_line = lambda mask: np.add.reduceat(mask.astype(np.int64), starts)
+    per_line = lambda mask: np.add.reduceat(mask.view(np.uint8), starts, dtype=np.int64)
 
     inside = ~_SPACE[raw]
     begins = inside & ~np.append(False, inside[:-1])
@@ -120,12 +138,11 @@ def read_lines(texts: list[bytes], ids: WordHashes) -> Lines:
     symbols, letters, upper = per_line(_SYMBOL[raw]), per_line(_LETTER[raw]), per_line(_UPPER[raw])
     last = np.maximum.reduceat(np.where(inside, np.arange(len(raw)), 0), starts)
 
-    words = data.split()
-    hashed = np.fromiter(map(ids.__getitem__, words), np.uint64, len(words))
+    hashed = word_hashes(raw, np.flatnonzero(begins), np.flatnonzero(inside & ~np.append(inside[1:], False)) + 1)
     line_of_word = np.repeat(np.arange(len(lines)), n_words)
     order = np.lexsort((hashed, line_of_word))
     a, b = hashed[order], line_of_word[order]
-    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(words)]
+    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(hashed)]
     distinct = np.bincount(b[new], minlength=len(lines))
     doc_of_word = doc_of_line[line_of_word]
     repeated = np.bincount(doc_of_word[repeat_words(hashed, doc_of_word)], minlength=len(texts))
@@ -153,6 +170,18 @@ def read_lines(texts: list[bytes], ids: WordHashes) -> Lines:
     return Lines(stats, np.bincount(doc_of_line[kept], minlength=len(texts)), at, n.astype("float64"))
 
 
+def side_by_side(texts: list[bytes]) -> Iterator[Lines]:
+    """read_lines() of as many texts at a time as SIDE_BY_SIDE bytes hold."""
+    low, size = 0, 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > SIDE_BY_SIDE:
+            yield read_lines(texts[low:i])
+            low, size = i, 0
+        size += len(t)
+    if texts:
+        yield read_lines(texts[low:])
+
+
 class Chains:
     """Chains of lines, one behind the other in flat arrays; step t of all chains that are that long
     is one operation."""
@@ -269,8 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lines = read_lines(b.column("_text").to_pylist(), per_worker(("words",), WordHashes))
-            parts = np.split(lines.at.astype("<u1"), np.cumsum(lines.count)[:-1])
+            parts = [x for lines in side_by_side(b.column("_text").to_pylist()) for x in np.split(lines.at.astype("<u1"), np.cumsum(lines.count)[:-1])]
             yield pa.RecordBatch.from_arrays([b.column("_lid"), b.column("_y"), pa.array([x.tobytes() for x in parts], pa.binary())], ["_lid", "_y", "_at"])
 
     kind = dict(labels.dtypes)[id_col]
@@ -289,15 +317,17 @@ SCHEMA = (
 
 def _judge(crf: Crf | None, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = per_worker(("words",), WordHashes)
         for b in batches:
             if not b.num_rows:
                 continue
-            lines = read_lines(b.column("_text").to_pylist(), ids)
-            share = content_shares(lines, crf) if crf else np.ones(b.num_rows)
-            n, repeated = lines.stats[:, 0], lines.stats[:, 4]
+            stats, shares = [], []
+            for lines in side_by_side(b.column("_text").to_pylist()):
+                stats.append(lines.stats)
+                shares.append(content_shares(lines, crf) if crf else np.ones(len(lines.stats)))
+            stats, share = np.concatenate(stats), np.concatenate(shares)
+            n, repeated = stats[:, 0], stats[:, 4]
             bad = (n < 10) | (100 * repeated > 20 * n)
-            cols = [pa.array(c, pa.int64()) for c in lines.stats.T]
+            cols = [pa.array(c, pa.int64()) for c in stats.T]
             names = ["_id", *Base._fields, "base_failed", "content_share", "kept"]
             yield pa.RecordBatch.from_arrays([b.column("_id"), *cols, pa.array(bad, pa.bool_()), pa.array(share, pa.float64()), pa.array(~bad & (share >= least), pa.bool_())], names)
 

@@ -497,15 +497,100 @@ def test_url_labels_with_clashing_columns(spark):
     assert [r["verdict"] for r in url_filter.filter_urls(pages, labels.limit(0), []).collect()] == ["allow", "allow"]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+BSD2 = """Copyright (c) 2020, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NAMES = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+WARRANTY = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL ANYONE BE LIABLE."""
+GPL = """/* This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU {} as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ */"""
+GPL2 = """ This program is free software; you can redistribute it and/or modify
+ it under the terms of the GNU General Public License as published by
+ the Free Software Foundation; either version 2 of the License, or
+ (at your option) any later version."""
+LGPL21 = GPL2.replace("program", "library").replace("General", "Lesser General").replace("version 2 of", "version 2.1 of")
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
 def test_licenses(docs, none, spark):
     texts = {
-        1: "Licensed under the Apache License, Version 2.0.\nwords", 2: "x. Released under the MIT License. All rights reserved.", 3: "ALL RIGHTS RESERVED", 4: "license of another kind",
-        5: "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.\nmore\nThe software is provided as is, without warranty of any kind.", 6: None,
-        7: "The software is provided as is, without warranty of any kind.",
+        "apache-2.0": ["Licensed under the Apache License, Version 2.0.\nwords", APACHE, "SPDX-License-Identifier: Apache-2.0", APACHE.replace("# ", "// ").replace("#", "//"), "GNU\n\n  Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\n TERMS"],
+        "mit": [MIT, MIT.replace("\n", "\r\n"), "/*\n" + MIT.replace("\n", "\n * ") + "\n*/", "text. Released under the MIT License.", "a\nReleased under the MIT License\nb"],
+        "bsd-3-clause,proprietary": [BSD2 + NAMES + WARRANTY, (BSD2 + NAMES + WARRANTY).replace("\n1. ", "\n * ").replace("\n2. ", "\n * ").replace("\n3. ", "\n * ")],
+        "bsd-2-clause,proprietary": [BSD2 + WARRANTY],
+        "gpl-3.0": [GPL.format("General Public License"), "SPDX-License-Identifier: GPL-3.0-or-later", "a. This work is licensed under the GNU General Public License version 3. b", "  GNU GENERAL PUBLIC LICENSE\n     Version 3, 29 June 2007\n\n Copyright"],
+        "agpl-3.0": [GPL.format("Affero General Public License")], "lgpl-3.0": [GPL.format("Lesser General Public License")],
+        "gpl-2.0": [GPL2], "lgpl-2.1": [LGPL21, "# SPDX-License-Identifier: LGPL-2.1-only"], "isc": [ISC, "SPDX-License-Identifier: ISC\n"], "mpl-2.0": [MPL],
+        "cc-by-nc-4.0": ["x\nLicensed under CC BY-NC 4.0."], "cc-by-sa-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License."],
+        "unlicense": ["This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy"], "proprietary": ["(c) 2020 X. ALL RIGHTS RESERVED"],
+        "apache-2.0,mit": [MIT + "\n\n" + APACHE], "": [None, "", "license of another kind", "The software is mine.", "MIT", "Permission is hereby granted, free of charge, to any person.", "x" * 300_000 + " software"],
     }
-    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: (r["license"], r["sentence_ids"]) for r in license_scan.scan_licenses(d).collect()}
-    assert got == {1: ("apache-2.0", "1"), 2: ("mit", "2,5"), 3: ("proprietary", "5"), 4: (None, ""), 5: ("mit", "12,13"), 6: (None, ""), 7: (None, "13")}
+    flat = [(x, want) for want, xs in texts.items() for x in xs]
+    d = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(flat)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(d).collect()}
+    for i, (x, want) in enumerate(flat):
+        assert got[i]["licenses"] == want, (x, got[i])
+        assert got[i]["license"] == (want.split(",")[0] or None)
     for s in license_scan.SENTENCES:
         assert re.search(license_scan.ANCHORS, s), s
     assert license_scan.scan_licenses(docs).count() == len(rows()) and license_scan.scan_licenses(none).count() == 0
@@ -540,6 +625,21 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert got[(got.quality == 1) & ~got.base_failed].kept.mean() > 0.97 and got[got.quality == 0].kept.mean() < 0.1
 
 
+def test_lines_measured_apart_equal_lines_measured_together(monkeypatch):
+    texts = [text(r[1]).encode() for r in rows()]
+    whole = line_quality.read_lines(texts)
+    monkeypatch.setattr(line_quality, "SIDE_BY_SIDE", 50)
+    parts = list(line_quality.side_by_side(texts))
+    assert len(parts) > 9
+    for k in range(4):
+        assert (np.concatenate([p[k] for p in parts]) == whole[k]).all()
+    words = [w.encode() for t in texts for w in t.decode().split()]
+    raw = np.frombuffer(b" ".join(words), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    h = line_quality.word_hashes(raw, ends - [len(w) for w in words], ends)
+    assert len(set(h.tolist())) == len(set(words)) == len(set(zip(h.tolist(), words, strict=True)))
+
+
 def all_paths(n):
     return [tuple(k >> i & 1 for i in range(n)) for k in range(1 << n)]
 
@@ -618,7 +718,7 @@ def test_mixed_documents_are_split_by_line(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(None, 1), (5, None)], "doc_id long, quality int")
     crf = line_quality.fit(docs, labels)
     planted = prose(5) + junk(6) + prose(4) + junk(3)
-    lines = line_quality.read_lines(["\n".join(planted).encode()], line_quality.WordHashes())
+    lines = line_quality.read_lines(["\n".join(planted).encode()])
     assert crf.viterbi(lines.at, lines.count).tolist() == [1] * 5 + [0] * 6 + [1] * 4 + [0] * 3
     share = line_quality.content_shares(lines, crf)[0]
     n = [sum(map(len, x.split())) for x in planted]
@@ -632,10 +732,10 @@ def test_line_training_reads_whole_texts(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(20)], "doc_id long, quality int")
     got = line_quality.fit(docs, labels)
-    lines = line_quality.read_lines([x.encode() for x in texts], line_quality.WordHashes())
+    lines = line_quality.read_lines([x.encode() for x in texts])
     want = line_quality.train_crf(lines.at, lines.count, np.array([1 - i % 2 for i in range(20)]))
     assert np.allclose(got.emit, want.emit, atol=1e-6) and np.allclose(got.move, want.move, atol=1e-6)
-    assert not got.viterbi(line_quality.read_lines([b"### $$$ 123\n" * 50], line_quality.WordHashes()).at).any()
+    assert not got.viterbi(line_quality.read_lines([b"### $$$ 123\n" * 50]).at).any()
 
 
 def test_pandas_is_only_a_carrier(docs):
