@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import threading
 import types
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 #: A word: a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Used where no spark.checkpoint.dir is set, which only a local master allows.
+#: Used where no spark.checkpoint.dir is set, which only a local master (one machine) allows.
 LOCAL_SHARED = "/tmp/checkpoints/millrace"
 
 #: The column that with_row_key() adds.
@@ -23,7 +24,12 @@ ROW = "__mr_row"
 #: Text that joined() hands on at a time, beside the batch that reaches it.
 BATCH_BYTES = 12_000_000
 
-_written: list[str] = []
+_local = threading.local()
+
+
+def _written() -> list[str]:
+    """Paths that this thread's operators wrote."""
+    return _local.__dict__.setdefault("paths", [])
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, tag: str) -> str:
     path = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}"
-    _written.append(path)
+    _written().append(path)
     return path
 
 
@@ -60,28 +66,32 @@ def with_row_key(df: DataFrame, tag: str) -> DataFrame:
 
 def mark() -> int:
     """A position in the list of tables written so far, for written_since()."""
-    return len(_written)
+    return len(_written())
 
 
 def written_since(position: int) -> list[str]:
     """The tables that materialize() has written since mark() gave this position."""
-    return _written[position:]
+    return _written()[position:]
 
 
 def release(spark: SparkSession, paths: list[str] | None = None) -> None:
-    """Delete tables that materialize() wrote (default: all of this process).
+    """Delete tables that materialize() wrote (default: all of this thread).
 
     Call it only when no DataFrame that reads them will run again.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in _written if paths is None else paths:
+    for path in _written() if paths is None else paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound the rows of an Arrow batch, since single texts can be very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bound the rows of an Arrow batch, since single texts can be very long. The setting is the
+    session's and is read when a plan runs, after its operator has returned, so it can only be
+    lowered here: a caller's smaller number stays."""
+    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if now <= 0 or now > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def joined(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
