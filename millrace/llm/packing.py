@@ -18,6 +18,8 @@ from millrace.llm._tokens import word_encoder
 #: Tails that share one index; the memory and time of a task follow it, not the input.
 SHARD = 512
 K1, B = 1.2, 0.75
+#: A seed's query: its terms of the highest BM25 weight in it, as many of them.
+QUERY_TERMS = 64
 TOKENIZED = "doc_id long, doc_tokens long, full array<long>, start long, length int, ids binary, top int"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, seq long, offset long"
 
@@ -64,10 +66,11 @@ class Index:
         token, doc, weight = [], [], []
         for d, ids in enumerate(tails):
             t, tf = np.unique(ids, return_counts=True)
-            self.terms.append(t)
+            w = idf(t) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / max(mean, 1e-9)))
+            self.terms.append(t if len(t) <= QUERY_TERMS else t[np.argsort(-w, kind="stable")[:QUERY_TERMS]])
             token.append(t)
             doc.append(np.full(len(t), d))
-            weight.append(idf(t) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / max(mean, 1e-9))))
+            weight.append(w)
         token = np.concatenate(token)
         order = np.argsort(token, kind="stable")
         self.doc, self.weight = np.concatenate(doc)[order], np.concatenate(weight)[order]
@@ -75,13 +78,20 @@ class Index:
         self.bounds = np.append(first, len(token))
 
     def scores(self, d: int) -> np.ndarray:
-        """BM25 of all tails for the distinct terms of tail d."""
+        """BM25 of all tails (0 for those that forget() took out) for the query of tail d."""
         at = np.searchsorted(self.vocabulary, self.terms[d])
         low, n = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
         take = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
         return np.bincount(self.doc[take], self.weight[take], self.n)
 
 
+    def forget(self, used: np.ndarray) -> None:
+        """Take the postings of used tails out of the index."""
+        keep = ~used[self.doc]
+        self.bounds = np.append(0, np.cumsum(keep))[self.bounds]
+        self.doc, self.weight = self.doc[keep], self.weight[keep]
+
+
 def pack_shard(lengths: list[int], index: Index, window: int) -> tuple[list[list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
     """Windows of (tail, from, length), all full, and what is left over, less than a window.
 
@@ -90,7 +100,7 @@ def pack_shard(lengths: list[int], index: Index, window: int) -> tuple[list[list
     """
     at, rest = [0] * len(lengths), np.array(lengths, np.int64)
     full: list[list[tuple[int, int, int]]] = []
-    total = int(rest.sum())
+    total, held = int(rest.sum()), len(lengths)
     while total >= window:
         seed = int(rest.argmax())
         room, here = window, []
@@ -104,8 +114,11 @@ def pack_shard(lengths: list[int], index: Index, window: int) -> tuple[list[list
 
         use(seed, min(int(rest[seed]), room))
         if room:
-            order = np.argsort(-index.scores(seed), kind="stable")
-            order = order[rest[order] > 0]
+            unused = np.flatnonzero(rest)
+            if len(unused) < held * 0.7:
+                index.forget(rest == 0)
+                held = len(unused)
+            order = unused[np.argsort(-index.scores(seed)[unused], kind="stable")]
             behind = order
             while room and len(fits := np.flatnonzero(rest[behind] <= room)):
                 use(int(behind[fits[0]]), int(rest[behind[fits[0]]]))
@@ -171,9 +184,10 @@ def pack(
     A row's tokens are its ids plus end_id. Its full windows are sequences of their own; the tail
     behind them is packed. Tails are dealt into shards of about SHARD by their highest token id
     (the rarest word piece, so copies and lexically close texts meet; a frequent one is split by a
-    hash of the identifier). Each shard holds an inverted index with BM25 weights whose
+    hash of the row, so that neither copies nor repeated identifiers fill one shard). Each shard holds an inverted index with BM25 weights whose
     document frequencies and mean length are those of all tails of the table. Seed after seed takes
-    its unused neighbours until its window is full. Less than a window is left per shard; those
+    its unused neighbours, all of them ranked by the seed's QUERY_TERMS weightiest terms, until its
+    window is full. Less than a window is left per shard; those
     pieces meet in the next round's shards, until the last round's one shard closes with
     sequences of power-of-two lengths. So no sequence needs padding.
 
@@ -202,15 +216,21 @@ def pack(
     parts, n, first = [], int(stats["n"]), 0
     while n:
         shards = max(1, math.ceil(n / SHARD))
-        per_top = F.broadcast(rest.groupBy("top").agg(F.ceil(F.count(F.lit(1)) / SHARD).alias("_sub")))  # a row per token id
-        sub = F.pmod(F.xxhash64("doc_id", "start"), F.col("_sub"))
-        dealt = rest.join(per_top, "top").withColumn("shard", F.pmod(F.xxhash64("top", sub), F.lit(shards)) if shards > 1 else F.lit(0).cast("long"))
-        done = dealt.drop("_sub", "top").groupBy("shard").applyInPandas(_pack(idf, float(stats["mean"]), window, shards == 1), PIECES + ", ids binary, shard long")
+        dealt = rest.withColumn("_row", F.xxhash64("doc_id", "start", F.monotonically_increasing_id()))  # rest is a written table
+        if shards == 1:
+            dealt = dealt.withColumn("shard", F.lit(0).cast("long"))
+        elif first:
+            dealt = dealt.withColumn("shard", F.pmod("_row", F.lit(shards)).cast("long"))
+        else:
+            per_top = F.broadcast(rest.groupBy("top").agg(F.ceil(F.count(F.lit(1)) / SHARD).alias("_sub")))  # a row per token id
+            sub = F.pmod(F.col("_row"), F.col("_sub"))
+            dealt = dealt.join(per_top, "top").withColumn("shard", F.pmod(F.xxhash64("top", sub), F.lit(shards))).drop("_sub")
+        done = dealt.drop("_row", "top").groupBy("shard").applyInPandas(_pack(idf, float(stats["mean"]), window, shards == 1), PIECES + ", ids binary, shard long")
         done = materialize(done, "pack-round")
         parts.append(done.where("seq >= 0").withColumn("sequence_id", ((F.col("shard") + F.lit(first)) * (1 << 20) + F.col("seq")) * 2).drop("shard", "seq", "ids"))
         if shards == 1:
             break
-        rest = done.where("seq < 0").select("doc_id", "doc_tokens", "start", F.col("length").cast("int").alias("length"), "ids", F.lit(0).alias("top"))
+        rest = done.where("seq < 0").select("doc_id", "doc_tokens", "start", F.col("length").cast("int").alias("length"), "ids")
         first, n_before = first + shards, n
         # a round keeps less than a window per shard; its pieces go to far fewer shards
         n = min(rest.count(), n_before)

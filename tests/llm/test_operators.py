@@ -263,6 +263,43 @@ def test_index_scores_are_bm25():
         assert np.allclose(ix.scores(d), want)
 
 
+def brute_pack(tails, idf, mean, window):
+    """The greedy rule as stated, with plain dictionaries."""
+    counts, rest, at, out = [Counter(x) for x in tails], [len(x) for x in tails], [0] * len(tails), []
+
+    def weight(t, d):
+        return idf[t] * counts[d][t] * 2.2 / (counts[d][t] + 1.2 * (0.25 + 0.75 * len(tails[d]) / mean))
+
+    while sum(rest) >= window:
+        seed = max(range(len(tails)), key=lambda d: (rest[d], -d))
+        query = sorted(counts[seed], key=lambda t: (-weight(t, seed), t))[: packing.QUERY_TERMS]
+        n = min(rest[seed], window)
+        here, room = [(seed, at[seed], n)], window - n
+        at[seed], rest[seed] = at[seed] + n, rest[seed] - n
+        ranked = sorted((d for d in range(len(tails)) if rest[d]), key=lambda d: (-round(sum(weight(t, d) for t in query if t in counts[d]), 9), d))
+        for only_whole in (True, False):
+            for d in ranked:
+                if room and rest[d] and (rest[d] <= room or not only_whole):
+                    n = min(rest[d], room)
+                    here.append((d, at[d], n))
+                    at[d], rest[d], room = at[d] + n, rest[d] - n, room - n
+        out.append(here)
+    return out
+
+
+@pytest.mark.parametrize("terms", [64, 5])
+def test_windows_equal_brute_force(monkeypatch, terms):
+    monkeypatch.setattr(packing, "QUERY_TERMS", terms)
+    r = np.random.default_rng(9)
+    idf = r.random(60) + 0.1
+    for _ in range(6):
+        tails = [r.integers(0, 60, r.integers(1, 50)) for _ in range(40)] + [np.array([3])] * 3
+        mean = sum(map(len, tails)) / len(tails)
+        full, left = packing.pack_shard([len(x) for x in tails], packing.Index(tails, lambda t: idf[t], mean), 64)
+        assert full == brute_pack([x.tolist() for x in tails], idf, mean, 64)
+        assert sum(n for here in full for _, _, n in here) + sum(n for _, _, n in left) == sum(map(len, tails)) and sum(n for _, _, n in left) < 64
+
+
 def test_packing_over_rounds(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD", 16)
     d = spark.read.parquet(f"{SF}/documents.parquet")
