@@ -83,32 +83,56 @@ def card_date(x: Column, as_of: Column) -> Column:
 
 
 def deadline(x: Column) -> Column:
-    """ISO or D-M-Y as text YYYY-MM-DD; ranges are checked, the calendar isn't."""
-    iso = iso_date(x)
-    p = [F.regexp_extract(F.coalesce(x, F.lit("")), r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", i) for i in (1, 2, 3)]
-    d, m = (F.nullif(p[i], F.lit("")).try_cast("int") for i in (0, 1))
-    built = F.concat_ws("-", p[2], F.lpad(p[1], 2, "0"), F.lpad(p[0], 2, "0"))
-    return F.when(iso != "", iso).when(d.between(1, 31) & m.between(1, 12), built).otherwise(F.lit(""))
+    """The first ISO date, else day, month (a name or a number) and year, as text YYYY-MM-DD; ranges are
+    checked, the calendar isn't."""
+    t = clean_text(x)
+    iso = F.regexp_extract(t, r"\b\d{4}-\d{2}-\d{2}\b", 0)
+    d, m, y = (F.regexp_extract(t, r"\b(\d{1,2})[\s./-]+([A-Za-z]{3,9}|\d{1,2})[\s./-]+(\d{4})\b", i) for i in (1, 2, 3))
+    place = F.position(F.lower(F.left(m, F.lit(3))), F.lit("janfebmaraprmayjunjulaugsepoctnovdec"))
+    month = F.coalesce(m.try_cast("int"), F.when((place > 0) & (place % 3 == 1), ((place + 2) / 3).cast("int")))
+    built = F.concat_ws("-", y, F.lpad(month.cast("string"), 2, "0"), F.lpad(d, 2, "0"))
+    return F.when(iso != "", iso).when((y != "") & d.try_cast("int").between(1, 31) & month.between(1, 12), built).otherwise(F.lit(""))
 
 
 def hijri(year: Column, month: Column, day: Column) -> Column:
-    """Day of the tabular Islamic calendar (civil epoch) by its Julian day number."""
+    """Day of the tabular Islamic calendar (civil epoch) by its Julian day number; years 1300 to 1600."""
     y, m, d = (c.cast("long") for c in (year, month, day))
     jdn = F.floor((y * 11 + 3) / 30) + 354 * y + 30 * m - F.floor((m - 1) / 2) + d + 1948440 - 385
-    return F.when(m.between(1, 12) & d.between(1, 30), F.date_add(F.lit("1970-01-01").cast("date"), (jdn - 2440588).cast("int")))
+    return F.when(m.between(1, 12) & d.between(1, 30) & y.between(1300, 1600), F.date_add(F.lit("1970-01-01").cast("date"), (jdn - 2440588).cast("int")))
 
 
 def is_active(closes: Column, posted: Column, status: Column, as_of: Column, days: int = 30) -> Column:
-    """By status, else by closing day, else by `days` after posting; true if nothing is known."""
-    s = F.lower(F.coalesce(status, F.lit("")))
-    return F.when(s.rlike("closed|expired"), False).when(s.rlike("open|active"), True).when(closes.isNotNull(), closes >= as_of).when(posted.isNotNull(), F.date_add(posted, days) >= as_of).otherwise(True)
+    """By a status of running, expired or closed; else by the closing day; else by `days` after posting;
+    false if nothing is known."""
+    s = F.lower(clean_text(status))
+    known = F.when(s.contains("still running") | (s == "running"), True).when(s.rlike("expired|closed"), False)
+    return F.coalesce(known, closes >= as_of, F.date_add(posted, days) >= as_of, F.lit(False))
+
+
+def state_time(x: Column, zone: str = "Asia/Kolkata") -> Column:
+    """The instant of an ISO time; one without an offset is of the zone. Null if it is none."""
+    t = F.trim(x)
+    offset = t.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$")
+    naive = F.try_to_timestamp(F.replace(F.regexp_extract(t, r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}", 0), F.lit(" "), F.lit("T")), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    local = F.convert_timezone(F.lit(zone), F.lit("UTC"), naive.cast("timestamp_ntz"))
+    return F.when(offset, F.replace(t, F.lit(" "), F.lit("T")).try_cast("timestamp")).otherwise(F.convert_timezone(F.lit("UTC"), F.current_timezone(), local).cast("timestamp"))
+
 
+def time_cutoff(last_run: Column, now: Column, grace_hours: int = 48, first_days: int = 7, since: Column | None = None, days: int | None = None) -> Column:
+    """The instant behind which rows are new: since; else now less days; else the last run less the
+    grace; else now less first_days."""
+    back = lambda t, hours: t - F.make_dt_interval(F.lit(0), F.lit(hours), F.lit(0), F.lit(0))
+    first = F.coalesce(back(last_run, grace_hours), back(now, 24 * first_days))
+    return F.coalesce(*([since] if since is not None else []), *([back(now, 24 * days)] if days is not None else []), first)
 
-def cutoff(newest: Column, as_of: Column, grace: int = 2, window: int | None = 7, since: str | None = None) -> Column:
-    """Oldest day that counts as new: since; else newest stored day less grace; else as_of less
-    window, or null (keep all) with no window."""
+
+def cutoff(newest: Column, as_of: Column, grace: int = 2, window: int | None = 7, since: str | None = None, rolling: int | None = None) -> Column:
+    """Oldest day that counts as new: since; else as_of less rolling, whatever is stored; else newest
+    stored day less grace; else as_of less window, or null (keep all) with no window."""
     if since:
         return F.lit(since).cast("date")
+    if rolling is not None:
+        return F.date_sub(as_of, rolling)
     first = F.date_sub(as_of, window) if window is not None else F.lit(None).cast("date")
     return F.coalesce(F.date_sub(newest, grace), first)
 
@@ -137,6 +161,13 @@ def page_date(x: Column) -> Column:
     return F.try_to_timestamp(F.nullif(human_date(x), F.lit("")), F.lit("yyyy-MM-dd")).cast("date")
 
 
+def url_month(x: Column) -> Column:
+    """struct(year, month) of an id that begins like august-2026/, else null."""
+    name, year = (F.regexp_extract(F.coalesce(x, F.lit("")), r"^([a-z]+)-(\d{4})/", i) for i in (1, 2))
+    month = F.array_position(F.array(*[F.lit(n) for n in _MONTHS]), name).cast("int")
+    return F.when(month > 0, F.struct(year.try_cast("int").alias("year"), month.alias("month")))
+
+
 def slug_date(x: Column) -> Column:
     """Day of a 20YY-M-D inside a URL."""
     y, m, d = (F.regexp_extract(F.coalesce(x, F.lit("")), r"(20\d{2})-(\d{1,2})-(\d{1,2})", i).try_cast("int") for i in (1, 2, 3))
@@ -147,7 +178,7 @@ def token_date(x: Column) -> Column:
     """Day of one d/m/y; Hijri by its mark or by a year from 1300 to 1499."""
     d, m, y = (F.regexp_extract(x, _TOKEN, i).try_cast("int") for i in (1, 2, 3))
     marked = F.regexp_extract(x, _TOKEN, 4) != ""
-    return F.when(marked & ~y.between(1300, 1600), None).when(marked | (y < 1500), hijri(y, m, d)).otherwise(_day(y, m, d))
+    return F.when(marked | (y < 1500), hijri(y, m, d)).otherwise(_day(y, m, d))
 
 
 def application_window(x: Column) -> Column:

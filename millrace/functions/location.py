@@ -25,10 +25,10 @@ def country_name(x: Column, fixups: dict[str, str] = FIXUPS) -> Column:
 
 def with_country(df: DataFrame, countries: DataFrame, name: str, code: str) -> DataFrame:
     """Adds country_name, country_code, country_dial_code: a known code wins, else the folded name;
-    an unknown name stays with blank codes. countries: name, code, dial, one row per country
-    (a fixed dimension of some 250 rows, which is why it is broadcast)."""
-    by_code = F.broadcast(countries.select(F.upper("code").alias("_k1"), F.struct("name", "code", "dial").alias("_c1")))
-    by_name = F.broadcast(countries.select(F.lower("name").alias("_k2"), F.struct("name", "code", "dial").alias("_c2")))
+    an unknown name stays with blank codes. countries: name, code, dial, one row per country; the
+    engine broadcasts it by its size."""
+    by_code = countries.select(F.upper("code").alias("_k1"), F.struct("name", "code", "dial").alias("_c1")).dropDuplicates(["_k1"])
+    by_name = countries.select(F.lower("name").alias("_k2"), F.struct("name", "code", "dial").alias("_c2")).dropDuplicates(["_k2"])
     out = df.withColumn("_k1", F.upper(clean_text(F.col(code)))).withColumn("_k2", F.lower(country_name(F.col(name))))
     out = out.join(by_code, "_k1", "left").join(by_name, "_k2", "left").withColumn("_c", F.coalesce("_c1", "_c2"))
     return out.withColumns({
@@ -45,19 +45,44 @@ def city(x: Column, country: Column, code: Column, last: bool = False, drop: tup
     return F.coalesce(F.try_element_at(F.filter(parts, ok), F.lit(-1 if last else 1)), F.lit(""))
 
 
-def locality(x: Column, states: tuple[str, ...], countries: tuple[str, ...]) -> Column:
-    """struct(city, country): `Country, City`; `City, ST` or a bare state is the United States; any
-    other text is a city of an unknown country."""
-    parts = F.transform(F.split(clean_text(x), ","), lambda p: F.trim(p))
-    first, rest = parts[0], F.try_element_at(parts, F.lit(2))
-    known, state = (lambda c: F.lower(c).isin(*[n.lower() for n in countries])), (lambda c: F.upper(c).isin(*[s.upper() for s in states]))
-    us = F.lit("United States")
-    return (
-        F.when(known(first), F.struct(F.coalesce(rest, first).alias("city"), first.alias("country")))
-        .when(rest.isNotNull() & state(rest), F.struct(first.alias("city"), us.alias("country")))
-        .when(state(first), F.struct(F.lit("").alias("city"), us.alias("country")))
-        .otherwise(F.struct(clean_text(x).alias("city"), F.lit("").alias("country")))
-    )
+def locality(x: Column, states: tuple[str, ...], countries: dict[str, tuple[str, str, str]], home: str = "us") -> Column:
+    """struct(city, country, code, dial, remote): `Country, City`; `City, ST` or a bare state is home's;
+    any other text is a city of an unknown country with blank codes. What stands in brackets goes;
+    `Regional X` is remote work in X. countries: (name, code, dial) by lower-cased name."""
+    text = clean_text(x)
+    ends = r"^[ ,]+|[ ,]+$"
+    bare = F.regexp_replace(F.regexp_replace(text, r"\s*\([^)]*\)", ""), ends, "")
+    regional = bare.rlike(r"(?iU)^regional\b")
+    core = F.when(regional, F.regexp_replace(F.regexp_replace(bare, r"(?i)^regional\s+", ""), ends, "")).otherwise(bare)
+    parts = F.split(core, ",", 2)
+    head, rest = F.trim(parts[0]), F.trim(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")))
+    state = lambda c: F.lower(F.regexp_replace(c, r"^\.+|\.+$", "")).isin(*[n.lower() for n in states])
+    table = lambda i: {k: v[i] for k, v in countries.items()}
+    key = F.when(lookup(F.lower(head), table(0)).isNotNull() & (rest != ""), F.lower(head))
+    key = F.coalesce(key, F.when((rest != "") & state(rest), F.lit(home)), F.when((rest == "") & state(core), F.lit(home)), F.when(rest == "", F.lower(core)))
+    name = lookup(key, table(0))
+    known_head = lookup(F.lower(head), table(0)).isNotNull()
+    place = F.when((rest != "") & known_head, F.regexp_replace(rest, ends, "")).when((rest != "") & state(rest), head).when((rest == "") & ~state(core) & name.isNotNull(), "").otherwise(core)
+    blank = F.lit("")
+    return F.struct(
+        place.alias("city"), F.coalesce(name, blank).alias("country"), F.coalesce(lookup(key, table(1)), blank).alias("code"), F.coalesce(lookup(key, table(2)), blank).alias("dial"),
+        (regional | text.rlike(r"(?i)remote|home[\s-]?based|home[\s-]?working")).alias("remote"),
+    )
+
+
+def peel(x: Column, phrases: tuple[str, ...]) -> Column:
+    """A text without the phrases that it begins with, longest first, again and again, each up to a
+    space, comma, dash or the end."""
+    words = sorted({p.lower() for p in phrases if p}, key=lambda p: (-len(p), p))
+    if not words:
+        return x
+    quoted = "|".join(r"\Q" + w + r"\E" for w in words)
+    return F.regexp_replace(x, rf"(?iu)^(?:(?:{quoted})(?:$|(?=[ ,\-–])[ ,\-–]*))+", "")
+
+
+def city_or_remote(city_name: Column, *texts: Column) -> Column:
+    """Remote where there is no city and one of the texts says remote."""
+    return F.when((F.coalesce(city_name, F.lit("")) == "") & is_remote(*texts), "Remote").otherwise(city_name)
 
 
 def first_city(x: Column, countries: dict[str, str], home: str = "India") -> Column:
@@ -86,5 +111,21 @@ def job_type(time_type: Column, remote: Column) -> Column:
     return F.when(remote, "remote").when(F.lower(clean_text(time_type)).contains("part"), "part_time").otherwise("full_time")
 
 
+def hinted_job_type(*texts: Column) -> Column:
+    """remote, hybrid, part_time or full_time, the first that the texts hint at."""
+    t = F.lower(F.concat_ws(" ", *[F.coalesce(x, F.lit("")) for x in texts]))
+    return F.when(t.rlike("work from home|wfh|remote"), "remote").when(t.contains("hybrid"), "hybrid").when(t.rlike("part[ -]time"), "part_time").otherwise("full_time")
+
+
+def profession(x: Column) -> Column:
+    """nurses, pharmacists, doctors or non_clinical, the first that a title names."""
+    t = F.coalesce(x, F.lit(""))
+    named = lambda words: t.rlike(rf"(?iU)\b(?:{words})\b")
+    return (
+        F.when(named("nurse|nursing|midwif|anm|gnm"), "nurses").when(named("pharmacist|pharmacy"), "pharmacists")
+        .when(named("doctor|physician|surgeon|mbbs|dentist|medical officer|specialist"), "doctors").otherwise("non_clinical")
+    )
+
+
 def company_type(x: Column, pharma: str = r"(?i)pharma|biotech|bio|research|clinical|cro\b|therapeutics|life sciences") -> Column:
     return F.when(F.coalesce(x, F.lit("")).rlike(pharma), "pharma").otherwise("hospital")

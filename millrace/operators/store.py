@@ -21,8 +21,10 @@ def keep_first(df: DataFrame, key: tuple[str, ...], order: list[Column]) -> Data
 
 
 def keep_last(df: DataFrame, key: tuple[str, ...], seq: str) -> DataFrame:
+    """One row per key, the last by seq; a null seq is before all others, and of equal ones the row that
+    sorts last counts."""
     payload = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*key).agg(F.max_by(payload, seq).alias("_row")).select("_row.*")
+    return df.groupBy(*key).agg(F.max_by(payload, F.struct(F.col(seq).isNotNull(), F.col(seq))).alias("_row")).select("_row.*")
 
 
 def best_of_group(df: DataFrame, key: list[Column], prefer: list[Column]) -> DataFrame:
@@ -62,8 +64,26 @@ def append_new(store: DataFrame, new: DataFrame, seq: str = "seq", key: tuple[st
 
 
 def archive(old: DataFrame, dropped: DataFrame, seq: str = "seq", key: tuple[str, ...] = KEY) -> DataFrame:
-    """Union of an archive and newly dropped rows; the last by seq of each key stays."""
-    return keep_last(old.unionByName(dropped, allowMissingColumns=True), key, seq)
+    """Union of an archive and newly dropped rows, columns of either vintage kept; the last by seq of
+    each key stays, rows of the archive come before new ones."""
+    both = old.withColumn("_new", F.lit(0)).unionByName(dropped.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    order = F.struct("_new", F.col(seq).isNotNull(), F.col(seq)) if seq in both.columns else F.struct("_new")
+    return keep_last(both.withColumn("_order", order), key, "_order").drop("_new", "_order")
+
+
+def review_log(log: DataFrame, entries: DataFrame, keep: str = "first", seq: str = "seq", key: tuple[str, ...] = KEY) -> DataFrame:
+    """A review log after a run: "first" or "last" of each key over log and entries, "new" appends
+    entries of unknown keys only, "replace" is the entries alone."""
+    if keep == "replace":
+        return entries
+    if keep == "new":
+        return log.unionByName(unknown(entries, log, key=key), allowMissingColumns=True)
+    if keep == "last":
+        return archive(log, entries, seq, key)
+    if keep != "first":
+        raise ValueError("keep is first, last, new or replace")
+    both = log.withColumn("_new", F.lit(0)).unionByName(entries.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    return keep_first(both, key, [F.col("_new"), F.col(seq).isNull(), F.col(seq)] if seq in both.columns else [F.col("_new")]).drop("_new")
 
 
 def upsert(master: DataFrame, fetched: DataFrame, key: str, version: str) -> DataFrame:
@@ -86,9 +106,54 @@ def day_merge(before: DataFrame, after: DataFrame, key: tuple[str, ...] = ("appl
 
 
 def overlay(store: DataFrame, detail: DataFrame, column: str, key: tuple[str, ...] = KEY) -> DataFrame:
-    """Updates one column where the detail table has a value that isn't blank."""
-    d = detail.select(*key, F.nullif(F.trim(column), F.lit("")).alias("_new"))
-    return store.join(d, list(key), "left").withColumn(column, F.coalesce("_new", column)).drop("_new").select(*store.columns)
+    """Updates one column where the detail table has a value that isn't blank; see overlay_row()."""
+    return overlay_row(store, detail.select(*key, column), key)
+
+
+def overlay_row(store: DataFrame, detail: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
+    """Detail wins: each column that both tables have takes the detail's value where that isn't blank.
+    Of several details of a key the largest value of a column counts, so none multiplies rows."""
+    shared = [c for c in store.columns if c in detail.columns and c not in key]
+    value = lambda c: F.when(F.trim(F.col(c).cast("string")) != "", F.col(c))
+    d = detail.groupBy(*key).agg(*[F.max(value(c)).alias(f"_new_{c}") for c in shared])
+    out = store.join(d, list(key), "left")
+    return out.select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in shared else F.col(c) for c in store.columns])
+
+
+def newest_first(df: DataFrame, days: tuple[str, ...], *then: str) -> DataFrame:
+    """Sorted by the first of the days that isn't blank, newest first, blank last; then by other columns, falling."""
+    day = F.coalesce(*[F.nullif(F.trim(d), F.lit("")) for d in days])
+    return df.orderBy(day.desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in then])
+
+
+def first_rows(df: DataFrame, n: int | None, seq: str = "seq") -> DataFrame:
+    """The first n rows by seq (all without n): a run's limit on new rows, taken before same-role dedup."""
+    return df if n is None else df.orderBy(F.col(seq).asc_nulls_last()).limit(n)
+
+
+def veto_histogram(dropped: DataFrame) -> DataFrame:
+    """How often each veto phrase, whatever its case, stopped a row."""
+    return dropped.where("vetoed_by <> ''").groupBy(F.lower("vetoed_by").alias("vetoed_by")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def facet_check(counts: DataFrame, total: DataFrame, n: str = "n") -> DataFrame:
+    """One row: what the facets cover of a total, and whether that is all. total: one row."""
+    covered = counts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("covered"))
+    both = covered.crossJoin(F.broadcast(total.select(F.col(n).alias("total")).limit(1)))  # one row each
+    return both.withColumn("missing", F.col("total") - F.col("covered")).withColumn("complete", F.col("missing") == 0)
+
+
+def slices(parts: list[tuple[DataFrame, int]], cap: int, key: str = "job_id", seq: str = "seq") -> tuple[DataFrame, bool]:
+    """Rows of slices of a source that shows `cap` rows of a slice at most, one per key, and whether they
+    are complete: every slice that reached the cap was itself cut into further slices (a row count
+    below the cap). parts: (rows, depth), a deeper slice refines those before it."""
+    rows = parts[0][0].withColumn("_depth", F.lit(parts[0][1])).withColumn("_slice", F.lit(0))
+    for i, (df, depth) in enumerate(parts[1:], 1):
+        rows = rows.unionByName(df.withColumn("_depth", F.lit(depth)).withColumn("_slice", F.lit(i)), allowMissingColumns=True)
+    sizes = rows.groupBy("_depth", "_slice").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cap)  # a row per full slice
+    deepest = max(d for _, d in parts)
+    complete = sizes.where(F.col("_depth") == deepest).isEmpty()
+    return keep_first(rows, (key,), [F.col("_depth"), F.col("_slice"), F.col(seq)]).drop("_depth", "_slice"), complete
 
 
 def touch(store: DataFrame, listing: DataFrame, today: str, key: tuple[str, ...] = KEY) -> DataFrame:
@@ -100,7 +165,7 @@ def union_with_provenance(feeds: DataFrame, key: str = "job_id", seq: str = "seq
     """One row per key: the first by seq, with the labels of all feeds that hold it, in order."""
     row = F.struct(*[F.col(c) for c in feeds.columns if c not in (seq, label)])
     labels = F.transform(F.array_sort(F.collect_set(F.struct(seq, label))), lambda x: x[label])
-    out = feeds.groupBy(key).agg(F.min_by(row, seq).alias("_row"), F.array_distinct(labels).alias("feeds"))
+    out = feeds.groupBy(key).agg(F.min_by(row, F.struct(F.col(seq).isNull(), F.col(seq))).alias("_row"), F.array_distinct(labels).alias("feeds"))
     return out.select("_row.*", F.array_join("feeds", "; ").alias("feeds"))
 
 
@@ -108,8 +173,9 @@ def first_known(df: DataFrame, key: Column, seq: str, columns: tuple[str, ...])
     """One row per key, the first by seq; the named columns take their first value in that order
     that isn't blank, so later rows fill gaps and change nothing. One aggregate, no window."""
     row = F.struct(*[F.col(c) for c in df.columns if c not in columns])
-    filled = [F.min_by(F.when(F.trim(c) != "", F.col(c)), F.when(F.trim(c) != "", F.col(seq))).alias(c) for c in columns]
-    out = df.groupBy(key.alias("_key")).agg(F.min_by(row, seq).alias("_row"), *filled)
+    order = F.struct(F.col(seq).isNull(), F.col(seq))
+    filled = [F.min_by(F.when(F.trim(c) != "", F.col(c)), F.when(F.trim(c) != "", order)).alias(c) for c in columns]
+    out = df.groupBy(key.alias("_key")).agg(F.min_by(row, order).alias("_row"), *filled)
     return out.select("_row.*", *columns).select(*df.columns)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace import schema
@@ -27,18 +27,32 @@ class Result:
     counters: DataFrame
 
 
-def verdicts(df: DataFrame, lexicon: Lexicon, title: str, skills: str, description: str) -> DataFrame:
-    """df with the verdict's fields as columns."""
+def verdicts(df: DataFrame, lexicon: Lexicon, title: str, skills: str, description: str, where: Column | None = None) -> DataFrame:
+    """df with the verdict's fields as columns; null for rows that are not to be classified."""
     v = classify(F.expr(title), F.expr(skills), F.expr(description), lexicon)
+    v = v if where is None else F.when(where, v)
     return df.withColumn("_v", v).select(*[c for c in df.columns if c not in schema.VERDICT.names], "_v.*")
 
 
-def run(new: DataFrame, known: DataFrame, archived: DataFrame, old_ids: DataFrame, lexicon: Lexicon, source: SourceConfig, as_of: str, since: str | None = None) -> Result:
+def mapped(df: DataFrame, columns: dict[str, tuple[str, ...]], default: str = "") -> DataFrame:
+    """A row of texts from a payload: each column takes the first of its expressions that is neither
+    null nor blank, else the default."""
+    value = lambda e: F.nullif(F.trim(F.expr(e).cast("string")), F.lit(""))
+    return df.select(*[F.coalesce(*map(value, tried), F.lit(default)).alias(name) for name, tried in columns.items()])
+
+
+def run(
+    new: DataFrame, known: DataFrame, archived: DataFrame, old_ids: DataFrame, lexicon: Lexicon, source: SourceConfig, as_of: str, since: str | None = None,
+    limit: int | None = None, same_role: bool = False, work: str | None = None,
+) -> Result:
     """One run of one source.
 
     new: landed rows with job_id, seq and the source's columns. known: the store. archived: rows
     out of scope before. old_ids: ids that were too old before. Rows are marked once with the gate
-    that stops them; each output is a filter of that.
+    that stops them, and only those that earlier gates let pass are classified; each output is a
+    filter of that. work is a folder to which the marked rows are written, so that the outputs don't
+    each mark them again. limit takes the first rows of what is kept, before rows of the same role
+    are reduced to one (same_role).
     """
     day = F.lit(as_of).cast("date")
     newest = known.where(F.col("source") == source.name).agg(F.max(dates.to_date(F.col("posted_date"))).alias("newest"))
@@ -50,19 +64,25 @@ def run(new: DataFrame, known: DataFrame, archived: DataFrame, old_ids: DataFram
     rows = store.marked(rows, old_ids, "_old")
     rows = rows.crossJoin(F.broadcast(newest))  # one row
     posted = dates.to_date(F.expr(source.posted))
-    cut = dates.cutoff(F.col("newest"), day, source.grace_days, source.window_days, since)
+    cut = dates.cutoff(F.col("newest"), day, source.grace_days, source.window_days, since, source.rolling_days)
     fresh = (gates.recent_or_unknown if source.unknown_dates == "keep" else gates.recent)(posted, cut)
     rows = rows.withColumn("_fresh", fresh & ~F.col("_old"))
-    rows = verdicts(rows, lexicon, source.title, source.skills, source.description)
     company = F.col("company_name") if "company_name" in rows.columns else F.lit("")
     stops = {
         "blocked": gates.listed(company, source.blocked_companies) if source.blocked_companies else F.lit(False),
-        "known": F.col("_known"), "out_of_scope_known": F.col("_archived"), "excluded_old": ~F.col("_fresh"), "out_of_scope": ~F.col("in_scope"),
+        "known": F.col("_known"), "out_of_scope_known": F.col("_archived"), "excluded_old": ~F.col("_fresh"), "out_of_scope": ~F.coalesce(F.col("in_scope"), F.lit(False)),
     }
     order = [("blocked", stops["blocked"]), *[(g, stops[g]) for g in source.gates]]
+    before = order[: [g for g, _ in order].index("out_of_scope")] if "out_of_scope" in source.gates else order
+    rows = verdicts(rows, lexicon, source.title, source.skills, source.description, gates.disposition(before) == "kept")
     rows = rows.withColumn("disposition", gates.disposition(order))
     rows = rows.withColumn("jd_too_short", gates.too_short(F.expr(source.description), source.short_description).cast("string"))
+    if work:
+        rows.write.mode("overwrite").parquet(work)
+        rows = rows.sparkSession.read.schema(rows.schema).parquet(work)
     kept = rows.where("disposition = 'kept'").withColumn("scraped_at", F.lit(f"{as_of}T00:00:00Z"))
+    kept = store.first_rows(kept, limit)
+    kept = store.dedupe_same_role(kept) if same_role else kept
     merged = store.append_new(known, kept.select(*[F.col(c).cast("string").alias(c) if c != "seq" else F.col(c) for c in kept.columns if not c.startswith("_") and c not in ("newest", "disposition")]))
     return Result(
         store=merged,
@@ -89,3 +109,9 @@ def reclassify(rows: DataFrame, lexicon: Lexicon, title: str = "title", skills:
     """All store rows classified anew: what is kept, what goes to the archive."""
     out = verdicts(rows.fillna(""), lexicon, title, skills, description)
     return out.where("in_scope"), out.where("not in_scope")
+
+
+def summary(counters: DataFrame, as_of: str) -> DataFrame:
+    """One JSON text of a run's counters: the day, and the rows of each disposition by source."""
+    per = counters.groupBy("source").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("disposition", "n")))).alias("counts"))  # a few names a source
+    return per.select(F.to_json(F.struct(F.lit(as_of).alias("as_of"), "source", "counts")).alias("value"))

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace import golden
 from millrace.functions import dates, location, money, nested, text
-from millrace.lexicon import Family, Lexicon, SubCategory
+from millrace.lexicon import SUBCATEGORY_TITLES, Family, Lexicon, SubCategory
 from millrace.operators import gates, store
 from millrace.operators.classify import classify, matches
 from millrace.sources import readers
@@ -30,11 +31,11 @@ def query(sql: str | None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_queries)
+    return golden.queries() | _queries
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
+    return golden.oracle_sql() | _sql
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,9 +122,9 @@ def best_of_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.best_of_group(d, [F.col("source"), F.col("lang")], prefer).select("source", "lang", "doc_id")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
 def unknown_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new = _t(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz '1998-01-01'").select(F.col("o_orderkey").alias("job_id"), "o_custkey")
+    new = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("job_id"), "o_custkey")
     known = _t(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("job_id"))
     return store.unknown(new, known, key=("job_id",)).select(F.col("job_id").alias("o_orderkey"), "o_custkey")
 
@@ -175,16 +176,17 @@ def json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '(?is)<a\\b[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS n_links,
-  array_to_string(regexp_extract_all(html, '(?is)<a\\b[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1)[1:3], '|') AS first_links FROM pages""")
+  array_to_string(regexp_extract_all(html, '(?is)<a\\b[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1), '|') AS links FROM pages""")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _t(spark, sf_dir, "pages").withColumn("a", readers.anchors(F.col("html")))
-    first = F.array_join(F.transform(F.slice("a", 1, 3), lambda x: x["href"]), "|")
-    return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size("a").cast("long").alias("n_links"), first.alias("first_links"))
+    links = F.array_join(F.transform("a", lambda x: x["href"]), "|")
+    return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size("a").cast("long").alias("n_links"), links.alias("links"))
 
 
+# What the tables hold of references; the code reads all of HTML's.
 _ENTITIES = "x"
-for _e, _c in text.ENTITIES:
-    _ENTITIES = "replace({}, '{}', '{}')".format(_ENTITIES, _e, _c.replace("'", "''"))
+for _e, _c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    _ENTITIES = f"replace({_ENTITIES}, '{_e}', '{_c}')"
 
 
 @query(f"""
@@ -340,7 +342,7 @@ _CLEAN = "trim(regexp_replace(" + _ENTITIES.replace("x", "coalesce(text, '')", 1
 WITH t AS (SELECT doc_id, {_CLEAN} AS t FROM documents),
 n AS (SELECT doc_id, length(t) AS n, len(regexp_extract_all(t, '\\p{{L}}')) AS letters, len(regexp_extract_all(t, '[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]')) AS latin,
   regexp_extract_all(lower(left(t, 2000)), '[a-z'']+') AS words FROM t)
-SELECT doc_id, n >= 200 AND letters > 0 AND (latin < 0.7 * letters OR (len(words) >= 30 AND len(list_filter(words, lambda w: w IN {text.ENGLISH})) < 0.05 * len(words))) AS non_english FROM n""")
+SELECT doc_id, n >= 200 AND letters > 0 AND (latin < 0.7 * letters OR (len(words) >= 30 AND len(list_filter(words, lambda w: w IN ('the', 'and', 'of', 'to', 'in', 'for', 'with', 'will', 'you', 'your', 'our', 'are', 'is', 'be', 'this', 'that', 'as', 'on', 'or', 'we'))) < 0.05 * len(words))) AS non_english FROM n""")
 def language_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", text.non_english(F.col("text")).alias("non_english"))
 
@@ -377,3 +379,215 @@ SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS languages, CASE WHEN c
 def routed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = nested.routed(F.array("lang", "source"), {"languages": ("en",)}, "others")
     return _t(spark, sf_dir, "documents").select("doc_id", r.alias("r")).select("doc_id", F.size("r.languages").alias("languages"), F.size("r.others").alias("others"))
+
+
+@query("""
+WITH new AS (SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'O' GROUP BY 1), old AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT coalesce(n.o_custkey, o.o_custkey) AS o_custkey, coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey, CASE WHEN n.o_custkey IS NULL THEN NULL ELSE 'new' END AS note FROM new n FULL JOIN old o ON n.o_custkey = o.o_custkey""")
+def archived_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive of an older vintage, without the order column, and rows dropped since: the last per key stays whole."""
+    o = _t(spark, sf_dir, "orders")
+    old = o.where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
+    new = o.where("o_orderstatus = 'O'").select("o_custkey", "o_orderkey", F.lit("new").alias("note"), F.col("o_orderkey").alias("seq"))
+    return store.archive(old, new, key=("o_custkey",)).select("o_custkey", "o_orderkey", "note")
+
+
+@query("""
+WITH s AS (SELECT o_custkey AS job_id, min(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), n AS (SELECT o_custkey AS job_id, min(o_orderkey) AS k FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1)
+SELECT job_id, k, 'old' AS title, '' AS extra FROM s UNION ALL SELECT job_id, k, 'new' AS title, 'x' AS extra FROM n WHERE job_id NOT IN (SELECT job_id FROM s)""")
+def appended_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders")
+    known = o.where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("job_id")).agg(F.min("o_orderkey").alias("k")).withColumn("title", F.lit("old"))
+    new = o.where("o_orderstatus <> 'F'").select(F.col("o_custkey").alias("job_id"), F.col("o_orderkey").alias("k"), F.lit("new").alias("title"), F.lit("x").alias("extra"), F.col("o_orderkey").alias("seq"))
+    return store.append_new(known, new, key=("job_id",))
+
+
+_REVIEW = """
+WITH l AS (SELECT o_custkey AS job_id, min(o_orderkey) AS seq FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), e AS (SELECT o_custkey AS job_id, o_orderkey AS seq FROM orders WHERE o_orderstatus <> 'F'),
+b AS (SELECT job_id, seq, 0 AS run FROM l UNION ALL SELECT job_id, seq, 1 FROM e)
+SELECT 'first' AS rule, job_id, arg_min(seq, run * 1000000000 + seq) AS seq FROM b GROUP BY job_id UNION ALL SELECT 'last', job_id, arg_max(seq, run * 1000000000 + seq) FROM b GROUP BY job_id
+UNION ALL SELECT 'new', job_id, seq FROM l UNION ALL SELECT 'new', job_id, seq FROM e WHERE job_id NOT IN (SELECT job_id FROM l) UNION ALL SELECT 'replace', job_id, seq FROM e"""
+
+
+@query(_REVIEW)
+def review_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A review log after a run by each of its rules."""
+    o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("job_id"), F.col("o_orderkey").alias("seq"), "o_orderstatus")
+    log = o.where("o_orderstatus = 'F'").groupBy("job_id").agg(F.min("seq").alias("seq"))
+    entries = o.where("o_orderstatus <> 'F'").drop("o_orderstatus")
+    parts = [store.review_log(log, entries, keep=k, key=("job_id",)).select(F.lit(k).alias("rule"), "job_id", "seq") for k in ("first", "last", "new", "replace")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("SELECT o_custkey, o_orderpriority, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL")
+def day_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports of a day: of equal composite keys the later run's row stays."""
+    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderkey")
+    last = o.groupBy("o_custkey", "o_orderpriority").agg(F.max("o_orderkey").alias("o_orderkey"))
+    return store.day_merge(o.where("o_orderkey % 2 = 0").unionByName(o.where("o_orderkey % 2 <> 0")), last, key=("o_custkey", "o_orderpriority"))
+
+
+@query("""
+SELECT c_custkey, coalesce(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'p' || c_custkey END, c_name) AS c_name, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE 'old' END AS note,
+  CASE WHEN c_custkey % 5 = 0 THEN '2026-09-01' ELSE '' END AS last_seen, c_custkey % 7 <> 0 AS detail_failed FROM customer""")
+def detail_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details laid over rows where they aren't blank, a liveness touch, and rows whose detail is missing."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", F.lit("old").alias("note"), F.lit("").alias("last_seen"))
+    key = F.col("c_custkey")
+    detail = c.select("c_custkey", F.when(key % 3 == 0, F.lit("  ")).otherwise(F.concat(F.lit("p"), key)).alias("c_name"), F.when(key % 2 == 0, "new").alias("note"))
+    rows = store.overlay_row(c, detail.unionByName(detail.where("c_custkey % 4 = 0")), key=("c_custkey",))
+    rows = store.touch(rows, c.where("c_custkey % 5 = 0"), "2026-09-01", key=("c_custkey",))
+    return readers.enrich(rows, c.where("c_custkey % 7 = 0").select("c_custkey"), key=("c_custkey",))
+
+
+@query("""
+SELECT o_orderkey, o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) AS seen_old, o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0) AS in_scope FROM orders""")
+def flagged_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = readers.ids(_t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("job_id"))).withColumn("n", F.col("job_id").cast("long"))
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("job_id"))
+    out = store.marked(store.marked(o, c.where("n % 2 = 0"), "seen_old", key=("job_id",)), c.where("n % 3 = 0"), "dropped", key=("job_id",))
+    return out.select("o_orderkey", "seen_old", (~F.col("dropped")).alias("in_scope"))
+
+
+@query("SELECT lower(regexp_extract(text, '(?i)(idiot|moron)', 1)) AS vetoed_by, count(*) AS n FROM documents WHERE regexp_matches(text, '(?i)(idiot|moron)') GROUP BY 1")
+def veto_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _t(spark, sf_dir, "documents").select(F.regexp_extract(F.coalesce("text", F.lit("")), "(?i)(idiot|moron)", 1).alias("vetoed_by"))
+    return store.veto_histogram(d)
+
+
+@query("""
+SELECT CAST(sum(n) AS BIGINT) AS covered, (SELECT count(*) FROM part) AS total, (SELECT count(*) FROM part) - CAST(sum(n) AS BIGINT) AS missing, (SELECT count(*) FROM part) = sum(n) AS complete
+FROM (SELECT p_brand, count(*) AS n FROM part WHERE p_size > 1 GROUP BY p_brand)""")
+def facets_against_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "part")
+    return store.facet_check(p.where("p_size > 1").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")), p.agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey DESC LIMIT 50")
+def limited_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's limit (the feature): its first rows in the source's order."""
+    return store.first_rows(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (-F.col("o_orderkey")).alias("seq")), 50).drop("seq")
+
+
+@query("""
+SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2000-01-01' END DESC NULLS LAST, o_orderkey DESC) AS place FROM orders""")
+def newest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sorted by the first date that is known, newest first, unknown last."""
+    k = F.col("o_orderkey") % 3
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(" ").alias("a"), F.when(k == 2, "2000-01-01").alias("b"))
+    day = F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in ("a", "b")])
+    place = F.row_number().over(Window.orderBy(day.desc_nulls_last(), F.col("o_orderkey").desc()))  # one task: the query shows the place itself
+    return store.newest_first(o, ("a", "b"), "o_orderkey").select("o_orderkey", place.cast("long").alias("place"))
+
+
+@query("""
+SELECT n_name, CASE n_name WHEN 'CHINA' THEN 'China' ELSE n_name END AS country_name, CASE WHEN n_name = 'CHINA' THEN 'CN' WHEN n_nationkey % 5 = 0 AND n_name <> 'CHINA' THEN 'X' || n_nationkey ELSE '' END AS country_code,
+  CASE WHEN n_name = 'CHINA' THEN '+86' WHEN n_nationkey % 5 = 0 THEN '+' || n_nationkey ELSE '' END AS country_dial_code FROM nation""")
+def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Countries by code, else by folded name, else as they are."""
+    n = _t(spark, sf_dir, "nation")
+    dim = n.where("n_nationkey % 5 = 0 and n_name <> 'CHINA'").select(F.col("n_name").alias("name"), F.concat(F.lit("X"), F.col("n_nationkey")).alias("code"), F.concat(F.lit("+"), F.col("n_nationkey")).alias("dial"))
+    dim = dim.unionByName(spark.sql("select 'China' as name, 'CN' as code, '+86' as dial"))
+    code = F.when(F.col("n_nationkey") % 10 == 0, F.lower(F.concat(F.lit("x"), F.col("n_nationkey"))))
+    return location.with_country(n.withColumn("code", code), dim, "n_name", "code").select("n_name", "country_name", "country_code", "country_dial_code")
+
+
+@query("SELECT p_brand, CASE WHEN lower(p_brand) LIKE '%1' THEN p_brand END AS id FROM (SELECT DISTINCT p_brand FROM part)")
+def facets_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configured names against live ones on their normalised key; missing ones stay, without an id."""
+    brands = _t(spark, sf_dir, "part").select("p_brand").distinct()
+    live = brands.where("p_brand like '%1'").select(F.upper(F.replace("p_brand", F.lit("#"), F.lit(" & # "))).alias("name"), F.col("p_brand").alias("id"))
+    wanted = brands.select(F.replace("p_brand", F.lit("#"), F.lit(" and ")).alias("name"), "p_brand")
+    return store.resolved(wanted, live).select("p_brand", "id")
+
+
+@query("SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS turn FROM orders")
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.fair_order(_t(spark, sf_dir, "orders"), "o_orderpriority", "o_orderkey").select("o_orderpriority", "o_orderkey", F.col("turn").cast("long").alias("turn"))
+
+
+@query("""
+WITH r AS (SELECT p_partkey, p_size, p_brand FROM part WHERE p_size < 40)
+SELECT p_partkey, p_size, p_brand, (SELECT max(n) < 100000 FROM (SELECT count(*) AS n FROM r GROUP BY p_brand)) AS complete FROM r""")
+def sliced_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of a source that shows a limited number of rows of each: their union, and whether it is whole."""
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand", F.col("p_partkey").alias("seq"))
+    rows, complete = store.slices([(p.where("p_size < 30"), 0), (p.where("p_size between 20 and 39"), 1), (p.where("p_size < 5"), 1)], 100_000, key="p_partkey")
+    return rows.select("p_partkey", "p_size", "p_brand", F.lit(complete).alias("complete"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 5 IN (1, 3) AND o_orderdate > TIMESTAMP '1997-01-01'")
+def filtered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").withColumn("categories", F.array(F.col("o_orderkey") % 5, F.lit(9).cast("long")))
+    return readers.posts(o, [1, 3], F.lit("1997-01-01").cast("timestamp_ntz"), date_col="o_orderdate").select("o_orderkey", "o_custkey")
+
+
+@query("""
+SELECT id, name, (SELECT count(*) FROM customer) AS seen, (SELECT count(*) FROM customer) AS total, TRUE AS complete FROM (SELECT c_custkey AS id, c_name AS name FROM customer)""")
+def paged_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of a listing, of which only the first states the total and one is landed twice."""
+    c = _t(spark, sf_dir, "customer").select((F.col("c_custkey") / 20).cast("int").alias("offset"), F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).alias("x"))
+    pages = c.groupBy("offset").agg(F.array_sort(F.collect_list("x")).alias("items"))
+    pages = pages.crossJoin(F.broadcast(c.agg(F.count(F.lit(1)).alias("n")))).withColumn("total", F.when(F.col("offset") == 0, F.col("n")).otherwise(0))
+    rows, seen = readers.paged(pages.unionByName(pages.where("offset = 3")), "items", "total")
+    return rows.crossJoin(F.broadcast(seen))  # one row
+
+
+@query("SELECT page_id AS job_id, 'http://x/' || page_id AS url FROM pages")
+def sitemap_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "pages")
+    loc = lambda prefix: F.concat(F.lit("<url><loc> "), F.lit(prefix), F.col("page_id"), F.lit("</loc></url>"))
+    raw = p.select(F.concat(F.lit("<urlset>"), loc("http://old/"), F.lit("<url><loc>http://x/none</loc></url>"), loc("http://x/"), F.lit("</urlset>")).alias("value"))
+    return readers.sitemap(raw).select(F.col("job_id").cast("long").alias("job_id"), "url")
+
+
+@query("SELECT page_id, i AS place, 'T' || i || '-' || page_id AS title, '/' || i AS href FROM pages, range(2) r(i)")
+def listing_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    card = lambda i: F.concat(F.lit(f'<div class="card"><a href="/{i}">T{i}-'), F.col("page_id"), F.lit("</a></div>"))
+    p = _t(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("<body>"), card(0), card(1)).alias("h"))
+    found = readers.cards(F.col("h"), '<div class="card">', {"title": ">([^<]*)<", "href": 'href="([^"]*)"'})
+    return p.select("page_id", F.posexplode(found).alias("place", "c")).select("page_id", F.col("place").cast("long").alias("place"), "c.title", "c.href")
+
+
+@query("""
+SELECT page_id, CASE WHEN page_id % 3 = 0 THEN NULL ELSE 'T' || page_id END AS title FROM pages""")
+def structured_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first posting among a page's JSON-LD blocks: in a list, in a graph, before trailing text; broken blocks are skipped."""
+    posting = F.concat(F.lit('{"@type":"JobPosting","title":"T'), F.col("page_id"), F.lit('"}'))
+    block = lambda c: F.concat(F.lit('<script type="application/ld+json">'), c, F.lit("</script>"))
+    kind = F.col("page_id") % 3
+    body = F.when(kind == 0, F.lit('{"@type":"Organization"} x')).when(kind == 1, F.concat(F.lit('[{"@type":"X"},'), posting, F.lit("] trailing;"))).otherwise(F.concat(F.lit('{"@graph":['), posting, F.lit("]}")))
+    p = _t(spark, sf_dir, "pages").select("page_id", F.concat(block(F.lit("{broken")), block(body), F.when(kind == 0, "").otherwise(block(F.lit('{"@type":"JobPosting","title":"second"}')))).alias("html"))
+    return nested.with_postings(p, "title string").select("page_id", F.col("posting.title").alias("title"))
+
+
+@query("SELECT p_partkey, p_name AS title, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE 'unknown' END AS company, 'full_time' AS job_type, '' AS city FROM part")
+def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payload with nested and missing values mapped to a row of texts, pinned to its columns."""
+    from millrace import schema
+    from millrace.plans import pipeline
+
+    p = _t(spark, sf_dir, "part").select("p_partkey", F.struct(F.struct("p_name").alias("info"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).otherwise("  ").alias("org")).alias("payload"))
+    rows = pipeline.mapped(p, {"p_partkey": ("p_partkey",), "title": ("payload.info.p_name",), "company": ("payload.org", "'unknown'"), "job_type": ("null", "'full_time'")})
+    return schema.pin(rows, ("p_partkey", "title", "company", "job_type", "city")).withColumn("p_partkey", F.col("p_partkey").cast("long"))
+
+
+@query("""
+WITH t(i, title, skills, category, sub_category, basis) AS (VALUES (0, 'Clinical Data Management Lead', '', 'Non Clinical', 'Clinical Data Management', 'title'), (1, 'Epidemiology Officer', '', 'Public Health', 'Epidemiology', 'title'),
+  (2, 'Clinical Coding Officer', '', 'Non Clinical', 'Medical Coding', 'title'), (3, 'Medical Reviewer', 'MedDRA, causality assessment', 'Non Clinical', 'Medical Reviewer', 'title'), (4, 'Clinical Dietitian', 'diet counselling', 'Public Health', 'Public Health Nutrition', 'title'),
+  (5, 'Scientist, Clinical Research', 'drug safety, EDC, CDISC', 'Non Clinical', 'Clinical Data Management', 'skills'), (6, 'Counsel, Regulatory Affairs', '', 'Non Clinical', 'Regulatory Affairs', 'title'), (7, 'Baker', 'bread', '', '', ''),
+  (8, 'MEAL Officer', '', 'Public Health', 'Monitoring & Evaluation', 'title'), (9, 'Public Health Physician', '', 'Public Health', '', ''))
+SELECT n_nationkey, category, sub_category, basis, i IN (6, 9) AS needs_review FROM nation JOIN t ON n_nationkey % 10 = i""")
+def classified_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The role families with sub-categories of title patterns and keywords: all that the verdict decides."""
+    strong = {"Clinical Data Management": "edc|cdisc"}
+    public = ("Epidemiology", "Public Health Program Management", "Monitoring & Evaluation", "Community Health", "Health Promotion & Education", "Disease Programs", "Public Health Nutrition", "Infection Prevention & Control", "Health Informatics & Data", "Public Health Research")
+    lex = Lexicon.roles(tuple(SubCategory(n, "Public Health" if n in public else "Non Clinical", t, strong.get(n)) for n, t in SUBCATEGORY_TITLES.items()))
+    cases = [
+        ("Clinical Data Management Lead", ""), ("Epidemiology Officer", ""), ("Clinical Coding Officer", ""), ("Medical Reviewer", "MedDRA, causality assessment"), ("Clinical Dietitian", "diet counselling"), ("Scientist, Clinical Research", "drug safety, EDC, CDISC"),
+        ("Counsel, Regulatory Affairs", ""), ("Baker", "bread"), ("MEAL Officer", ""), ("Public Health Physician", ""),
+    ]
+    at = (F.col("n_nationkey") % len(cases) + 1).cast("int")
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", *[F.element_at(F.array(*[F.lit(c[i]) for c in cases]), at).alias(x) for i, x in enumerate(("title", "skills"))])
+    v = n.select("n_nationkey", classify(F.col("title"), F.col("skills"), F.lit(""), lex).alias("v"))
+    return v.select("n_nationkey", "v.category", "v.sub_category", F.col("v.sub_category_basis").alias("basis"), "v.needs_review")

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.functions.text import clean_text
+
 CARD = (
     "jobId string, title string, companyName string, tagsAndSkills string, jobDescription string, createdDate long, jdURL string,"
     " jobType string, placeholders array<struct<type:string,label:string>>"
@@ -25,6 +31,7 @@ class SourceConfig:
     description: str = "description"
     posted: str = "posted_date"
     window_days: int | None = 7
+    rolling_days: int | None = None  # a window that ignores the store
     grace_days: int = 2
     unknown_dates: str = "keep"  # or drop
     gates: tuple[str, ...] = ("known", "out_of_scope_known", "excluded_old", "out_of_scope")
@@ -97,10 +104,10 @@ def rss(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sitemap(raw: DataFrame, text: str = "value", pattern: str = r"(\d+)/?$") -> DataFrame:
-    """(job_id, url) of sitemap texts; of equal ids the last URL, newest id first."""
+    """(job_id, url) of sitemap texts; of equal ids the last URL. Sort by the id as a number where an order is wanted."""
     locs = raw.select(F.posexplode(F.regexp_extract_all(F.col(text), F.lit(r"<loc>\s*([^<]+?)\s*</loc>"), F.lit(1))).alias("pos", "url"))
     locs = locs.withColumn("job_id", F.regexp_extract("url", pattern, 1)).where("job_id <> ''")
-    return locs.groupBy("job_id").agg(F.max_by("url", "pos").alias("url")).orderBy(F.col("job_id").cast("decimal(38,0)").desc())
+    return locs.groupBy("job_id").agg(F.max_by("url", "pos").alias("url"))
 
 
 def cards(html: Column, marker: str, fields: dict[str, str]) -> Column:
@@ -110,10 +117,25 @@ def cards(html: Column, marker: str, fields: dict[str, str]) -> Column:
 
 
 def anchors(html: Column) -> Column:
-    """array<struct<href, label>> of a page's links."""
+    """array<struct<href, label>> of a page's links, unescaped and without tags."""
     pattern = r"(?is)<a\b[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>"
     both = F.arrays_zip(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(pattern), F.lit(2)).alias("label"))
-    return F.transform(both, lambda a: F.struct(a["href"].alias("href"), F.trim(F.regexp_replace(a["label"], r"<[^>]*>", "")).alias("label")))
+    return F.transform(both, lambda a: F.struct(clean_text(a["href"]).alias("href"), clean_text(F.regexp_replace(a["label"], r"<[^>]*>", " ")).alias("label")))
+
+
+def absolute_links(html: Column, base: Column) -> Column:
+    """anchors() with absolute targets; empty ones, fragments, scripts and mail addresses go."""
+    origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    folder = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
+
+    def whole(u: Column) -> Column:
+        return (
+            F.when(u.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), u).when(u.startswith("//"), F.concat(F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), u))
+            .when(u.startswith("/"), F.concat(origin, u)).otherwise(F.concat(F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/"))), u))
+        )
+
+    real = F.filter(anchors(html), lambda a: (a["href"] != "") & ~a["href"].rlike("^(?:#|javascript:|mailto:)"))
+    return F.transform(real, lambda a: F.struct(whole(a["href"]).alias("href"), a["label"].alias("label")))
 
 
 def enrich(listing: DataFrame, detail: DataFrame, key: tuple[str, ...] = ("source", "job_id")) -> DataFrame:
@@ -131,3 +153,88 @@ def write_export(df: DataFrame, path: str, run_date: str) -> None:
 def write_store(df: DataFrame, path: str) -> None:
     """The store, partitioned by source; only the sources of df are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path)
+
+
+def card_files(spark: SparkSession, json_path: str, html_path: str, marker: str, fields: dict[str, str], names: dict[str, str]) -> DataFrame:
+    """Cards of JSON captures and of saved pages in one table (file, seq, names): names gives for each
+    output column the capture's column; fields gives each output column's pattern in a page's card."""
+    a = captures(spark, json_path).select("file", "seq", *[F.col(c).cast("string").alias(n) for n, c in names.items()])
+    pages = spark.read.text(html_path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), cards(F.col("value"), marker, fields).alias("c"))
+    b = pages.select("file", F.posexplode("c").alias("seq", "c")).select("file", "seq", *[F.col(f"c.{n}").alias(n) for n in names])
+    return a.unionByName(b)
+
+
+def paged(pages: DataFrame, items: str, total: str, offset: str = "offset", key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Items of landed pages of a listing, one per key, the first by (offset, place); and one row (seen,
+    total, complete). A total is read where a page states one above 0, since later pages may say 0."""
+    rows = pages.select(F.col(offset).alias("_offset"), F.posexplode(items).alias("_place", "_item")).select("_offset", "_place", "_item.*")
+    order = F.struct("_offset", "_place")
+    kept = [c for c in rows.columns if c not in ("_offset", "_place")]
+    one = rows.groupBy(key).agg(F.min_by(F.struct(*kept), order).alias("_row")).select("_row.*")
+    stated = pages.agg(F.max(F.when(F.col(total) > 0, F.col(total))).alias("total"))
+    seen = one.agg(F.count(F.lit(1)).alias("seen")).crossJoin(F.broadcast(stated))  # one row each
+    return one, seen.withColumn("complete", F.coalesce(F.col("seen") >= F.col("total"), F.lit(False)))
+
+
+def posts(df: DataFrame, categories: list[int] | None = None, after: Column | None = None, categories_col: str = "categories", date_col: str = "date") -> DataFrame:
+    """Landed posts that carry one of the categories and are younger than `after`; both reach the scan."""
+    if categories is not None:
+        df = df.where(F.arrays_overlap(categories_col, F.array(*map(F.lit, categories))))
+    return df if after is None else df.where(F.col(date_col) > after)
+
+
+def fair_order(df: DataFrame, group: str, seq: str, turn: str = "turn") -> DataFrame:
+    """Rows with the turn in which groups that take turns would give them, from 0: order by (turn,
+    group) before a limit."""
+    return df.withColumn(turn, F.row_number().over(Window.partitionBy(group).orderBy(seq)) - 1)
+
+
+def landing(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stream of the JSON files that a receiver lands in a folder; broken lines give no row."""
+    return spark.readStream.schema(schema).option("mode", "DROPMALFORMED").json(path)
+
+
+def _paths(spark: SparkSession, *paths: str):
+    made = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return made[0].getFileSystem(spark._jsc.hadoopConfiguration()), made
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Writes beside path and then takes its place by renaming, so a reader never sees half a table and
+    df may read path itself. A run that dies leaves path, or path.old, whole."""
+    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old"
+    df.write.parquet(new)
+    fs, (here, fresh, before) = _paths(df.sparkSession, path, new, old)
+    if fs.exists(here):
+        fs.delete(before, True)
+        fs.rename(here, before)
+    if not fs.rename(fresh, here):
+        raise OSError(f"could not rename {new} to {path}")
+    fs.delete(before, True)
+
+
+@contextmanager
+def single_writer(spark: SparkSession, path: str) -> Iterator[None]:
+    """Holds a lock file while its block runs; fails where another run holds it."""
+    fs, (lock,) = _paths(spark, path)
+    try:
+        fs.create(lock, False).close()
+    except Exception as e:
+        raise RuntimeError(f"{path} is locked by another run") from e
+    try:
+        yield
+    finally:
+        fs.delete(lock, False)
+
+
+def write_sheets(df: DataFrame, path: str) -> None:
+    """Quoted CSV whose part files each begin with a byte-order mark and the header, as spreadsheets
+    want them. Lines are made by the engine; Python only puts the header in front."""
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in df.columns]
+    head = "﻿" + ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
+
+    def with_header(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([head])], ["value"])
+        yield from (pa.RecordBatch.from_arrays([b.column(0)], ["value"]) for b in batches)
+
+    df.select(F.concat_ws(",", *quoted).alias("value")).mapInArrow(with_header, "value string").write.mode("overwrite").text(path)

@@ -19,13 +19,13 @@ def one(spark, column, *values):
     (lambda c: text.strip_html(c, ""), "a<b>b</b>", "ab"), (text.slugify, "Hello, World! ", "hello-world"), (text.norm_facet, "R&D / Ops", "r and d ops"),
     (lambda c: text.truncate(c, 10), "one two three four", "one two…"), (lambda c: text.truncate(c, 10), "abcdefghijklm", "abcdefghij…"), (lambda c: text.truncate(c, 10), "short", "short"),
     (text.fold_diacritics, "Épidémiologie", "Epidemiologie"), (text.recase, "SENIOR WRITER", "Senior Writer"), (text.recase, "Senior WRITER", "Senior WRITER"),
-    (text.title_case, "head of qa ii", "Head Of QA II"), (text.clean_title, "a | Medical Writer | x", "Medical Writer"), (text.qualifications, "MPH or Ph.D, MPH", "PhD, MPH"),
+    (text.title_case, "HEAD OF QA II", "Head of QA II"), (text.clean_title, "Apply Now | Medical Writer | x", "Medical Writer"), (text.qualifications, "MPH or Ph.D, MPH", "PhD, MPH"),
     (text.url_id, "https://h.x/a/b?c=1#d", "/a/b?c=1"), (text.looks_cjk, "日本語の求人", True), (text.looks_cjk, "plain", False), (text.strip_per_line, "<b>a</b>\n\n c ", "a\nc"),
     (dates.iso_date, "2026-02-31T00:00", "2026-02-31"), (dates.deadline, "3/4/2026", "2026-04-03"), (dates.deadline, "99/4/2026", ""), (dates.to_date, "2026-02-31", None),
     (dates.rfc822, "Tue, 01 Sep 2026 10:00:00 GMT", dt.date(2026, 9, 1)), (dates.rfc822, "nonsense", None), (dates.epoch_ms, "1788220800000", dt.date(2026, 9, 1)), (dates.epoch_ms, "0", None),
     (lambda c: dates.epoch_ms(c, "Asia/Kolkata"), "1788289200000", dt.date(2026, 9, 2)), (dates.object_id_date, f"{1788220800:x}" + "0" * 16, dt.date(2026, 9, 1)),
-    (money.int_text, "2.5", "2"), (money.int_text, "x", ""), (money.experience_years, "at least 3+ years", "3"), (money.experience_years, "minimum 45 years; 5 years of relevant experience", "5"), (money.experience_years, "none", ""),
-    (lambda c: money.experience_range(c)["high"], "1 to 5 Yrs", 5), (lambda c: money.experience_range(c)["low"], "Fresher", 0), (money.least_experience, "5 years needed, 2 years in labs, 1 year of training", 2),
+    (money.int_text, "2.7", "2"), (money.int_text, "x", ""), (money.experience_years, "at least 3+ years", "3"), (money.experience_years, "minimum 45 years; 5 years of relevant experience", "5"), (money.experience_years, "none", ""),
+    (lambda c: money.experience_range(c)["high"], "1 to 5 Yrs", 5), (lambda c: money.experience_range(c)["low"], "Fresher", 0), (money.least_experience, "5 years needed, at least 2 years in labs, minimum 1 year of training", 2),
     (lambda c: money.annual_lakh(c)["high"], "₹ 3 - 5.5 LPA", 550000), (lambda c: money.annual_lakh(c)["period"], "INR 20,000 - 30,000", "per_month"), (lambda c: money.annual_lakh(c)["low"], "EUR 5", None),
     (lambda c: money.monthly(c)["low"], "6-12 lakh per annum", 50000), (location.country_name, "United States of America", "United States"), (lambda c: location.job_type(c, F.lit(False)), "Part time", "part_time"),
     (lambda c: location.city(c, F.lit("India"), F.lit("IN")), "Hyderabad - TS - IN", "Hyderabad"), (lambda c: location.city(c, F.lit("India"), F.lit("IN")), "2 Locations", ""), (lambda c: location.city(c, F.lit("India"), F.lit("IN"), last=True), "India, Remote, Pune", "Pune"),

@@ -51,7 +51,7 @@ def test_reclassify(spark):
 
 
 def test_same_role(spark):
-    rows = [(1, "Medical Writer!", "Acme", "Pune", "short", 5), (2, "medical writer", "ACME", "pune", "longer text", 1), (3, "Medical Writer", "Acme", "Delhi", "x", 1), (4, "medical writer", "acme", "pune", "longer tex2", 9)]
+    rows = [(1, " Medical  Writer", "Acme", "Pune", "short", 5), (2, "medical writer", "ACME", "pune", "longer text", 1), (3, "Medical Writer", "Acme", "Delhi", "x", 1), (4, "medical writer", "acme", "pune", "longer tex2", 9)]
     df = spark.createDataFrame(rows, "seq int, title string, company string, city string, description string, created_ms long")
     assert sorted(r.seq for r in store.dedupe_same_role(df).collect()) == [3, 4]
 
@@ -118,3 +118,89 @@ def test_live_windows_match_batch(spark):
     q = incremental.windowed_counts(live, "ts", "event_type", "value").writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("w").count() == incremental.windowed_counts(e, "ts", "event_type", "value").count()
+
+
+def test_keep_last_and_archive_keep_rows_without_order(spark):
+    """Null order columns wipe nothing: every row comes out whole."""
+    rows = [("s", "a", "1", None), ("s", "a", "2", None), ("s", "b", "3", None), ("s", "b", "4", 1), ("s", None, "5", None)]
+    df = spark.createDataFrame(rows, "source string, job_id string, v string, seq int")
+    assert {tuple(r)[:3] for r in store.keep_last(df, store.KEY, "seq").collect()} == {("s", "a", "2"), ("s", "b", "4"), ("s", None, "5")}
+    old = spark.createDataFrame([("s", "a", "1"), ("s", "c", "9")], "source string, job_id string, v string")
+    new = spark.createDataFrame([("s", "a", "7", 1, "x"), ("s", "a", "8", 2, "y")], "source string, job_id string, v string, seq int, w string")
+    got = {(r.job_id, r.v, r.w) for r in store.archive(old, new).collect()}
+    assert got == {("a", "8", "y"), ("c", "9", None)}
+    assert {(r.job_id, r.v) for r in store.archive(old, old.limit(0)).collect()} == {("a", "1"), ("c", "9")}
+    feeds = spark.createDataFrame([("a", None, "x", 1), ("a", None, "y", 2)], "job_id string, seq int, feed string, n int")
+    assert store.union_with_provenance(feeds).first().job_id == "a"
+    assert store.first_known(df, F.col("job_id"), "seq", ("v",)).count() == 3
+
+
+def test_limit_same_role_and_written_marks(spark, tmp_path):
+    ids = spark.createDataFrame([], "source string, job_id string")
+    empty = spark.createDataFrame([], STORE)
+    rows = [(str(i), i, "Medical Writer", "d" * i, "2026-08-30", "Acme", "Pune", i) for i in range(1, 7)] + [("b", 9, "Baker", "x", "2026-08-30", "Acme", "Pune", 9)]
+    new = spark.createDataFrame(rows, "job_id string, seq int, title string, description string, posted_date string, company string, city string, created_ms int")
+    run = lambda **k: pipeline.run(new, empty, ids, ids, Lexicon.roles(), readers.SourceConfig("s"), "2026-09-01", **k)
+    assert sorted(r.job_id for r in run(limit=4).store.collect()) == ["1", "2", "3", "4"]
+    assert [r.job_id for r in run(limit=4, same_role=True).store.collect()] == ["4"]
+    r = run(work=str(tmp_path / "marks"))
+    assert r.store.count() == 6 and r.out_of_scope.count() == 1 and spark.read.parquet(str(tmp_path / "marks")).count() == 7
+    text = pipeline.summary(r.counters, "2026-09-01").first().value
+    assert json.loads(text) == {"as_of": "2026-09-01", "source": "s", "counts": {"kept": 6, "out_of_scope": 1}}
+    old = pipeline.run(new, spark.createDataFrame([("s", "k", "x", "", "2026-12-01")], STORE), ids, ids, Lexicon.roles(), readers.SourceConfig("s", rolling_days=30), "2026-09-01")
+    assert old.store.count() == 7
+
+
+def test_tables_are_replaced_whole_and_locked(spark, tmp_path):
+    import pytest
+
+    path = str(tmp_path / "t")
+    readers.replace_table(spark.range(5), path)
+    readers.replace_table(spark.read.parquet(path).where("id > 2"), path)  # reads what it replaces
+    assert spark.read.parquet(path).count() == 2 and not readers.exists(spark, path + ".old") and not readers.exists(spark, path + ".new-*")
+    with readers.single_writer(spark, str(tmp_path / "lock")):
+        with pytest.raises(RuntimeError):
+            with readers.single_writer(spark, str(tmp_path / "lock")):
+                pass
+    with readers.single_writer(spark, str(tmp_path / "lock")):
+        pass
+
+
+def test_sheets_begin_with_a_mark(spark, tmp_path):
+    df = spark.createDataFrame([("a", 'x"y'), (None, "1,2")], "k string, v string")
+    readers.write_sheets(df.coalesce(1), str(tmp_path / "s"))
+    text = next((tmp_path / "s").glob("part-*")).read_text(encoding="utf-8")
+    assert text == '\ufeff"k","v"\n"a","x""y"\n"","1,2"\n'
+    got = readers.csv_rows(spark, str(tmp_path / "s"))
+    assert got.columns == ["k", "v"] and got.count() == 2
+
+
+def test_json_and_saved_pages_in_one_table(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"jobId": "1", "title": "T1"}]))
+    (tmp_path / "p.html").write_text('<div class=c id="2">T2</div><div class=c id="3">T3</div>')
+    fields = {"job_id": 'id="([^"]*)"', "title": ">([^<]*)<"}
+    got = readers.card_files(spark, str(tmp_path / "*.json"), str(tmp_path / "*.html"), "<div class=c", fields, {"job_id": "jobId", "title": "title"})
+    assert sorted((r.job_id, r.title) for r in got.collect()) == [("1", "T1"), ("2", "T2"), ("3", "T3")]
+
+
+def test_received_files_are_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text('{"source":"s","job_id":"a","seq":1}\n{broken\n{"source":"s","job_id":"b","seq":2}')
+    stream = readers.landing(spark, str(tmp_path / "in"), "source string, job_id string, seq int")
+    for _ in range(2):
+        incremental.ingest(stream, str(tmp_path / "store"), str(tmp_path / "cp")).awaitTermination(120)
+    assert sorted(r.job_id for r in spark.read.parquet(str(tmp_path / "store")).collect()) == ["a", "b"]
+
+
+def test_slices_and_pages_tell_what_is_missing(spark):
+    df = spark.createDataFrame([(i, i) for i in range(10)], "job_id int, seq int")
+    assert store.slices([(df, 0)], 10)[1] is False and store.slices([(df, 0), (df.where("seq < 5"), 1), (df.where("seq >= 5"), 1)], 10)[1] is True
+    pages = spark.sql("select 0 as offset, 5 as total, array(named_struct('id', 1), named_struct('id', 2)) as items union all select 2, 0, array(named_struct('id', 2))")
+    rows, seen = readers.paged(pages, "items", "total")
+    assert sorted(r.id for r in rows.collect()) == [1, 2] and tuple(seen.first()) == (2, 5, False)
+
+
+def test_absolute_links(spark):
+    df = spark.createDataFrame([('<a href="/a?x=1&amp;y=2">A <b>b</b></a><a href="c.pdf">c</a><a href="https://z/q">z</a><a href="#t">t</a><a href="//w/v">w</a>', "https://h.org/d/e.html")], "h string, u string")
+    got = df.select(readers.absolute_links(F.col("h"), F.col("u")).alias("l")).first().l
+    assert [tuple(x) for x in got] == [("https://h.org/a?x=1&y=2", "A b"), ("https://h.org/d/c.pdf", "c"), ("https://z/q", "z"), ("https://w/v", "w")]
