@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.llm._common import materialize, text_or_empty
 
 #: Runs into which the copies of one text are split, so that none is ranked in one task.
-SALTS = 4096
+SALTS = 256
 #: Digest ranges for which totals are summed; their totals are all that meets in one task.
 RANGES = 4096
 
