@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import threading
 import types
@@ -22,7 +23,7 @@ LOCAL_SHARED = "/tmp/checkpoints/millrace"
 ROW = "__mr_row"
 
 #: Text that joined() hands on at a time, beside the batch that reaches it.
-BATCH_BYTES = 12_000_000
+BATCH_BYTES = 6_000_000
 
 _local = threading.local()
 
@@ -94,9 +95,18 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def give_back() -> None:
+    """Return to the system what this worker has freed. Allocators keep it otherwise, and a worker
+    lives on through the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def joined(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
     """The columns' values of as many batches as reach BATCH_BYTES, for work that is done once for
-    what repeats."""
+    what repeats. What that work took is given back after each of them."""
     held, n = tuple([] for _ in columns), 0
     for b in batches:
         for values, c in zip(held, columns, strict=True):
@@ -105,8 +115,11 @@ def joined(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[l
         if n >= BATCH_BYTES:
             yield held
             held, n = tuple([] for _ in columns), 0
+            give_back()
     if held[0]:
         yield held
+        del held
+        give_back()
 
 
 def text_or_empty(text_col: str = "text") -> Column:

@@ -83,15 +83,19 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     def run(texts: list[str]) -> list[bytes]:
         whole = pc.replace_substring(pa.array([lowered(x) for x in texts], pa.large_string()), "\n", " ")
         parts = pc.split_pattern(whole, " ")
-        flat = parts.flatten().dictionary_encode()
+        flat, ends = parts.flatten().dictionary_encode(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        del whole, parts
         ids = [piece(p) for p in flat.dictionary.to_pylist()]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         known, start = np.fromiter(chain.from_iterable(ids), "<u4", int(size.sum())), np.cumsum(size) - size
+        del ids
         which = flat.indices.to_numpy()
         n = size[which]
         after = np.cumsum(n)
-        raw = known[np.repeat(start[which] - after + n, n) + np.arange(n.sum())].tobytes()
-        ends = 4 * np.append(0, after)[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        at = np.repeat(start[which] - after + n, n)
+        at += np.arange(len(at))
+        raw = known[at].tobytes()
+        ends = 4 * np.append(0, after)[ends]
         return [raw[a:b] for a, b in pairwise(ends.tolist())]
 
     return run
