@@ -5,6 +5,8 @@ Ties are broken by an explicit order column; input order means nothing in Spark.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,16 +145,17 @@ def facet_check(counts: DataFrame, total: DataFrame, n: str = "n") -> DataFrame:
     return both.withColumn("missing", F.col("total") - F.col("covered")).withColumn("complete", F.col("missing") == 0)
 
 
-def slices(parts: list[tuple[DataFrame, int]], cap: int, key: str = "job_id", seq: str = "seq") -> tuple[DataFrame, bool]:
+def slices(parts: list[tuple[DataFrame, int, *tuple[str, ...]]], cap: int, key: str = "job_id", seq: str = "seq") -> tuple[DataFrame, bool]:
     """Rows of slices of a source that shows `cap` rows of a slice at most, one per key, and whether they
     are complete: every slice that reached the cap was itself cut into further slices (a row count
-    below the cap). parts: (rows, depth), a deeper slice refines those before it."""
+    below the cap). parts: (rows, depth), a deeper slice refines those before it; (rows, depth, column, ...)
+    are as many slices as the columns have values."""
     rows = parts[0][0].withColumn("_depth", F.lit(parts[0][1])).withColumn("_slice", F.lit(0))
-    for i, (df, depth) in enumerate(parts[1:], 1):
+    for i, (df, depth, *_) in enumerate(parts[1:], 1):
         rows = rows.unionByName(df.withColumn("_depth", F.lit(depth)).withColumn("_slice", F.lit(i)), allowMissingColumns=True)
-    sizes = rows.groupBy("_depth", "_slice").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cap)  # a row per full slice
-    deepest = max(d for _, d in parts)
-    complete = sizes.where(F.col("_depth") == deepest).isEmpty()
+    deepest = max(p[1] for p in parts)
+    sizes = [df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).select("n") for df, depth, *by in parts if depth == deepest]
+    complete = reduce(DataFrame.union, sizes).where(F.col("n") >= cap).isEmpty()
     return keep_first(rows, (key,), [F.col("_depth"), F.col("_slice"), F.col(seq)]).drop("_depth", "_slice"), complete
 
 
