@@ -349,7 +349,7 @@ def _sized(members: DataFrame, exact: bool) -> DataFrame:
     total = F.sum("n") if exact else F.lit(0)
     size = members.groupBy("region").agg(F.count(F.lit(1)).alias("_docs"), total.alias("_sum"), F.when(here == 1, F.col("region")).otherwise(F.min("key")).alias("_pivot"))
     large = (F.col("_docs") > MAX_DOCS) | (F.col("_sum") > MAX_SHINGLES)
-    return materialize(size.where("_docs > 1").select("region", "_pivot", large.alias("_large")), "jaccard-regions")
+    return size.where("_docs > 1").select("region", "_pivot", large.alias("_large"))
 
 
 def _whole(rows: DataFrame) -> DataFrame:
@@ -455,7 +455,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     hot = hot.join(pivot.drop("_last"), "cell")  # may be split where a cell is frequent
     members = cold.select("region", "key").unionByName(hot.select("region", "key")).distinct()
     members = materialize(members, "jaccard-members")
-    members = members.join(_sized(members, False), "region")
+    members = members.join(materialize(_sized(members, False), "jaccard-regions"), "region")
     rows = members.join(sets.drop("_id"), "key")
     tasks, stars = _both(rows, "hist", percent, False)
     may = components(_joined(tasks, stars, "hist", percent, False))
